@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from lakeops.plans import flagship, load_queries  # noqa: F401
+from lakeops.plans import flagship, load_queries, sql_queries  # noqa: F401
 from lakeops.plans.registry import ORACLES, QUERIES  # noqa: F401
