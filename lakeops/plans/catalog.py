@@ -1,4 +1,5 @@
 """Importing this module registers every query."""
 
-from lakeops.plans import flagship, load_queries, sql_queries  # noqa: F401
+from lakeops.plans import (  # noqa: F401
+    flagship, load_queries, object_queries, sql_queries, stream_queries, table_queries)
 from lakeops.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -17,8 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    # written as a pattern, the path may be a folder of files or a single file
+    pattern = f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(pattern)
 
 
 def micros(ts: str) -> F.Column:
