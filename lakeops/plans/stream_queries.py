@@ -255,7 +255,7 @@ def objects_changed_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     try:
         out = scratch_dir(spark, "changes")
         listing = objects_of(stream(spark, sf_dir, "pages"))
-        (changes.detect_changes_stream(listing, ttl_ms=86_400_000).writeStream.format("parquet")
+        (changes.detect_changes_stream(listing).writeStream.format("parquet")
                 .outputMode("append").trigger(availableNow=True)
                 .option("checkpointLocation", scratch_dir(spark, "checkpoint")).start(out).awaitTermination())
     finally:

@@ -113,9 +113,10 @@ def detect_changes_stream(listing: DataFrame, on: str = "CREATE_OR_UPDATE",
     columns = "uri string, generation bigint, metageneration bigint"
     reduced = listing.select("uri", F.col("generation").cast("bigint"),
                              F.col("metageneration").cast("bigint")).mapInPandas(newest, columns)
+    # only a time to live needs a clock
     return reduced.groupBy("uri").transformWithStateInPandas(
         _ObjectVersions(on, ttl_ms), "uri string, change string, version string",
-        outputMode="append", timeMode="ProcessingTime")
+        outputMode="append", timeMode="ProcessingTime" if ttl_ms else "None")
 
 
 # ---------------------------------------------------------------- change streams
