@@ -65,29 +65,38 @@ def _shift(crc: int, n_bytes: int) -> int:
     return int(value[0])
 
 
+def _shift_each(crc: int, n_bytes: np.ndarray) -> np.ndarray:
+    """One register moved over a different number of zero bytes per entry."""
+    values = np.full(len(n_bytes), crc, dtype=np.uint32)
+    for power in range(int(n_bytes.max(initial=0)).bit_length()):
+        moved = (n_bytes >> power) & 1 == 1
+        values[moved] = _apply(_shift_tables(power), values[moved])
+    return values
+
+
 def crc32c_many(values: list[bytes]) -> list[int]:
-    """CRC32C of each value; all lanes of the batch are folded together."""
+    """CRC32C of each value; the lanes of the whole batch are folded together."""
     table = _byte_table()
-    lanes = [-(-len(v) // LANE) for v in values]
+    sizes = np.array([len(v) for v in values], dtype=np.int64)
+    lanes = -(-sizes // LANE)
     # leading zero bytes do not change a register that starts at zero
-    padded = b"".join(bytes(n * LANE - len(v)) + v for v, n in zip(values, lanes))
-    grid = np.frombuffer(padded, dtype=np.uint8).reshape(-1, LANE)
-    register = np.zeros(len(grid), dtype=np.uint32)
+    padded = b"".join(bytes(int(n) * LANE - len(v)) + v for v, n in zip(values, lanes))
+    grid = np.ascontiguousarray(np.frombuffer(padded, dtype=np.uint8).reshape(-1, LANE).T)
+    register = np.zeros(grid.shape[1], dtype=np.uint32)
     for position in range(LANE):
-        register = table[(register ^ grid[:, position]) & 0xFF] ^ (register >> np.uint32(8))
-    out, start = [], 0
-    for value, n in zip(values, lanes):
-        part = register[start:start + n]
-        start += n
-        power = LANE.bit_length() - 1
-        while len(part) > 1:
-            if len(part) % 2:
-                part = np.concatenate([np.zeros(1, dtype=np.uint32), part])
-            part = _apply(_shift_tables(power), part[0::2]) ^ part[1::2]
-            power += 1
-        raw = int(part[0]) if len(part) else 0
-        out.append(raw ^ _shift(0xFFFFFFFF, len(value)) ^ 0xFFFFFFFF)
-    return out
+        register = table[(register ^ grid[position]) & 0xFF] ^ (register >> np.uint32(8))
+    # join neighbouring lanes of each value, pairwise, until every value has one register
+    power = LANE.bit_length() - 1
+    while lanes.max(initial=0) > 1:
+        odd = lanes % 2
+        starts = np.cumsum(lanes) - lanes
+        register = np.insert(register, starts[odd == 1], 0)
+        register = _apply(_shift_tables(power), register[0::2]) ^ register[1::2]
+        lanes = (lanes + odd) // 2
+        power += 1
+    raw = np.zeros(len(values), dtype=np.uint32)
+    raw[lanes == 1] = register
+    return (raw ^ _shift_each(0xFFFFFFFF, sizes) ^ np.uint32(0xFFFFFFFF)).tolist()
 
 
 def combine(left: int, right: int, right_length: int) -> int:

@@ -64,7 +64,7 @@ def missing_required(schema: T.StructType, parent: Column | None = None) -> Colu
                 field.dataType.elementType, T.StructType):
             element = field.dataType.elementType
             broken = broken | F.coalesce(
-                F.exists(column, lambda e, s=element: missing_required(s, e)), F.lit(False))
+                F.exists(column, lambda e: missing_required(element, e)), F.lit(False))
     return broken
 
 

@@ -67,13 +67,16 @@ def range_bounds(column: Column) -> Column:
 
 def interval_text(column: Column, data_type: T.DataType) -> Column:
     """``years-months days hours:minutes:seconds`` with the sign on each part."""
+    months = isinstance(data_type, T.YearMonthIntervalType)
+    full = column.cast("interval year to month" if months else "interval day to second")
+
     def part(unit: str) -> Column:
-        return F.extract(F.lit(unit), column)
+        return F.extract(F.lit(unit), full)
 
     def signed(negative: Column, *texts: Column) -> Column:
         return F.concat(F.when(negative, "-").otherwise(""), *texts)
 
-    if isinstance(data_type, T.YearMonthIntervalType):
+    if months:
         return F.concat(
             signed((part("YEAR") < 0) | (part("MONTH") < 0),
                    F.abs(part("YEAR")).cast("string"), F.lit("-"),

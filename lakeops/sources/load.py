@@ -160,7 +160,7 @@ def unknown_keys(text: Column, schema: T.StructType) -> Column:
                 f.dataType.elementType, T.StructType):
             element = f.dataType.elementType
             extra = extra | F.exists(
-                F.from_json(value, "array<string>"), lambda e, s=element: unknown_keys(e, s))
+                F.from_json(value, "array<string>"), lambda e: unknown_keys(e, element))
     return F.coalesce(extra, F.lit(False))
 
 

@@ -151,11 +151,9 @@ def count_changes(records: DataFrame, now: Column, look_back: str,
                   earliest: Column | None = None) -> DataFrame:
     """Rows and data changes per token. Arrays are counted where they are, not exploded."""
     start = window_start(now, look_back, earliest)
-    def inside(change: Column) -> Column:
-        return change.getField("commit_ts").between(start, now)
-    per_row = F.aggregate(
-        "ChangeRecord", F.lit(0),
-        lambda n, r: n + F.size(F.filter(r.getField("data_change_record"), inside)))
+    present = F.filter(F.col("ChangeRecord.data_change_record"), lambda changes: changes.isNotNull())
+    times = F.flatten(present).getField("commit_ts")
+    per_row = F.size(F.filter(times, lambda t: t.between(start, now)))
     return (records.select("partition_token", per_row.alias("n")).where("n > 0")
                    .groupBy("partition_token")
                    .agg(F.count(F.lit(1)).alias("row_count"), F.sum("n").cast("bigint").alias("change_count")))
