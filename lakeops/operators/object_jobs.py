@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.checksum import crc32c_many, fold_ranges
-from lakeops.session import materialise
+from lakeops.session import locate, materialise
 
 # Fixed value: the most parts one composed object may have.
 COMPOSE_PARTS = 32
@@ -32,17 +32,9 @@ class NoObjectsError(FileNotFoundError):
 
 # ---------------------------------------------------------------- helpers inside tasks
 
-def _locate(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    if uri.startswith("/"):
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _write_whole(target: str, sources: list[str]) -> int:
     """Streams the sources, one after the other, into ``target``."""
-    fs, path = _locate(target)
+    fs, path = locate(target)
     renames = fs.type_name in ("local", "hdfs")
     place = f"{path}.{uuid.uuid4().hex}.part" if renames else path
     if renames:
@@ -50,7 +42,7 @@ def _write_whole(target: str, sources: list[str]) -> int:
     written = 0
     with fs.open_output_stream(place) as out:
         for source in sources:
-            from_fs, from_path = _locate(source)
+            from_fs, from_path = locate(source)
             with from_fs.open_input_stream(from_path) as data:
                 while chunk := data.read(BUFFER):
                     out.write(chunk)
@@ -61,7 +53,7 @@ def _write_whole(target: str, sources: list[str]) -> int:
 
 
 def _remove(uri: str) -> None:
-    fs, path = _locate(uri)
+    fs, path = locate(uri)
     if fs.get_file_info(path).type != pafs.FileType.NotFound:
         fs.delete_file(path)
 
@@ -148,7 +140,7 @@ def remove(listing: DataFrame) -> DataFrame:
     """
     def stat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            infos = [fs.get_file_info(path) for fs, path in map(_locate, batch["location"])]
+            infos = [fs.get_file_info(path) for fs, path in map(locate, batch["location"])]
             batch["size"] = [i.size or 0 for i in infos]
             yield batch[[i.type == pafs.FileType.File for i in infos]]
 
@@ -192,7 +184,7 @@ def object_checksums(listing: DataFrame, range_bytes: int = 64 * 1024 * 1024,
         for batch in batches:
             crcs = []
             for location, start, length in zip(batch["location"], batch["start"], batch["length"]):
-                fs, path = _locate(location)
+                fs, path = locate(location)
                 with fs.open_input_file(path) as data:
                     crcs.append(crc32c_many([data.read_at(int(length), int(start))])[0])
             batch["crc"] = crcs
@@ -216,7 +208,7 @@ def object_checksums(listing: DataFrame, range_bytes: int = 64 * 1024 * 1024,
         for batch in batches:
             sums = []
             for location in batch["location"]:
-                fs, path = _locate(location)
+                fs, path = locate(location)
                 value = hashlib.md5()
                 with fs.open_input_stream(path) as data:
                     while chunk := data.read(BUFFER):

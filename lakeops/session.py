@@ -7,6 +7,7 @@ import json
 import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,6 +45,15 @@ def fresh_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+def locate(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path of a URI, for use inside tasks."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    if uri.startswith("/"):
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
+
 # Driver-side metadata access: listings of table folders and one small JSON file per
 # table version. Data never passes through here.
 

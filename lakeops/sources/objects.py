@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.session import qualified
+from lakeops.session import locate, materialise, qualified
 
 LISTING_TYPES = ("DIRECTORY", "RECURSIVE")
 FILTERS = ("FILES", "DIRECTORY", "BOTH")
@@ -17,18 +21,42 @@ def object_uri(bucket: Column, name: Column) -> Column:
     return F.replace(F.concat(F.lit("gs://"), bucket, F.lit("/"), name), F.lit(" "), F.lit("+"))
 
 
+_ENTRY = "name string, is_folder boolean, size bigint, modified bigint"
+
+
 def scan_folder(spark: SparkSession, path: str, bucket: str = "") -> DataFrame:
-    """Metadata of every file below ``path``; contents are not read."""
+    """Metadata of every file below ``path``, empty ones too; contents are not read.
+
+    Folders are listed by the executors, one level of the tree per job, and each level is
+    written down, so the listing stays one and the same while files come and go.
+    """
     root = qualified(spark, path).rstrip("/") + "/"
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-                  .select("path", "modificationTime", "length"))
+    tasks = spark.sparkContext.defaultParallelism * 4
+
+    def children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for folder in batch["name"]:
+                fs, place = locate(root + folder)
+                found = fs.get_file_info(pafs.FileSelector(place.rstrip("/") or "/", allow_not_found=True))
+                yield pd.DataFrame({
+                    "name": [f"{folder}{i.base_name}" for i in found],
+                    "is_folder": [i.type == pafs.FileType.Directory for i in found],
+                    "size": [i.size or 0 for i in found],
+                    "modified": [(i.mtime_ns or 0) // 1000 for i in found]})
+
+    level = spark.createDataFrame([("",)], "name string")
+    files = None
+    while True:
+        listed = materialise(level.mapInPandas(children, _ENTRY), "listing")
+        here = listed.where(~F.col("is_folder"))
+        files = here if files is None else files.unionByName(here)
+        folders = listed.where("is_folder")
+        if not folders.head(1):
+            break
+        level = folders.select(F.concat("name", F.lit("/")).alias("name")).repartition(tasks, "name")
     return files.select(
-        F.lit(bucket).alias("bucket"),
-        F.substring(F.col("path"), len(root) + 1, 1 << 30).alias("name"),
-        F.col("length").alias("size"),
-        F.unix_micros("modificationTime").alias("generation"),
-        F.lit(1).cast("bigint").alias("metageneration"),
-        F.col("path").alias("location"))
+        F.lit(bucket).alias("bucket"), "name", "size", F.col("modified").alias("generation"),
+        F.lit(1).cast("bigint").alias("metageneration"), F.concat(F.lit(root), "name").alias("location"))
 
 
 def list_objects(objects: DataFrame, prefix: str = "", listing_type: str = "DIRECTORY",
