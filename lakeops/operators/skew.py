@@ -16,23 +16,32 @@ def nest_groups(df: DataFrame, keys: list[str], items: list[str], order: list[st
     """One row per key with ``items`` nested in order, as ``name``.
 
     A key with more than ``max_items`` entries comes back as several rows, told apart by
-    ``part``; each part is ordered in itself and no entry is dropped. Only counts are
-    gathered per key first, and the list of long keys is joined without a forced broadcast:
-    the adaptive planner decides from its real size.
+    ``part``; each part is ordered in itself and no entry is dropped. Counts are gathered
+    first, which combines map-side; in the usual case no key is long, and the rows are then
+    shuffled once and joined with nothing.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    long_keys = counts.where(F.col("_n") > max_items).select(
-        *keys, F.ceil(F.col("_n") / max_items).cast("int").alias("_parts"))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.col("_parts")).cast("int")
+    long_keys = materialise(
+        counts.where(F.col("_n") > max_items).select(
+            *keys, F.ceil(F.col("_n") / max_items).cast("int").alias("_parts")), "long_keys")
+    if long_keys.head(1):
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.col("_parts")).cast("int")
+        rows = join_small(df, long_keys, keys, "left").withColumn("part", F.coalesce(spread, F.lit(0)))
+    else:
+        rows = df.withColumn("part", F.lit(0))
     entry = F.struct(*[F.col(c) for c in order + [i for i in items if i not in order]])
-    grouped = (df.join(long_keys, keys, "left")
-                 .withColumn("part", F.coalesce(spread, F.lit(0)))
-                 .groupBy(*keys, "part")
-                 .agg(F.sort_array(F.collect_list(entry)).alias("_list")))
+    grouped = rows.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(entry)).alias("_list"))
     shaped = F.transform("_list", lambda e: F.struct(*[e.getField(i).alias(i) for i in items]))
     return grouped.select(*keys, "part", shaped.alias(name))
 
 
+def join_small(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner",
+               max_rows: int = 100_000) -> DataFrame:
+    """Join a side that is written down and usually small: broadcast up to ``max_rows`` rows,
+    an ordinary join, which the adaptive planner may still split or convert, beyond."""
+    return df.join(F.broadcast(side) if side.count() <= max_rows else side, keys, how)
+
+
 def newest_within_budget(df: DataFrame, keys: list[str], position: str, cost: Column,
                          budget: int, block: int = 4096) -> DataFrame:
     """Rows of each key whose cost, summed from the newest position down, fits the budget.
@@ -68,13 +77,14 @@ def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     task = F.shiftright("_id", _ROW_BITS)
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     # one line per task of the sort above, never one per row
-    offsets = (placed.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
-                     .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-                     .drop("_n"))
+    offsets = materialise(
+        placed.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+              .drop("_n"), "offsets")
     place = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (placed.withColumn("_task", task).join(offsets, "_task")
-                  .withColumn(name, F.col("_offset") + place)
-                  .drop("_task", "_id", "_offset"))
+    return (join_small(placed.withColumn("_task", task), offsets, ["_task"])
+            .withColumn(name, F.col("_offset") + place)
+            .drop("_task", "_id", "_offset"))
 
 
 def rank_evenly(df: DataFrame, columns: list[str]) -> DataFrame:

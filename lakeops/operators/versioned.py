@@ -1,9 +1,10 @@
 """Tables with versions: snapshot, clone, restore, DML and atomic DML batches.
 
-A version is one small JSON file that names, per partition value, the Parquet folders that
-make it up. A change writes new folders for the partitions it touches and publishes the next
-version file in one rename; readers see the old version or the new one, never a mixture. Of
-two writers that start from the same version, the second one fails with VersionConflict.
+A version is one small JSON file that names, per partition value, the Parquet folders (or
+single files of a folder) that make it up. A change rewrites only the files that hold rows it
+touches and publishes the next version file in one rename; readers see the old version or the
+new one, never a mixture. Of two writers that start from the same version, the second one
+fails with VersionConflict.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from lakeops.operators.skew import rank_evenly
 from lakeops.session import list_names, put_json_if_absent, read_json
 
 WHOLE = ""
@@ -61,8 +63,10 @@ class VersionedTable:
     # ------------------------------------------------------------ versions
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, rows: DataFrame,
-               partition_by: str | None = None) -> VersionedTable:
+    def create(cls, spark: SparkSession, path: str, rows: DataFrame, partition_by: str | None = None,
+               sort_by: list[str] = ()) -> VersionedTable:
+        """``sort_by`` range-partitions and sorts every write, so that file and row-group
+        statistics let reads and changes on those columns skip files."""
         table = cls(spark, path)
         schema = rows.schema
         if partition_by:
@@ -71,7 +75,7 @@ class VersionedTable:
             schema = T.StructType([*others, T.StructField(partition_by, T.StringType())])
             rows = rows.withColumn(partition_by, F.col(partition_by).cast("string"))
         head = {"version": -1, "schema": schema.jsonValue(), "partition_by": partition_by,
-                "folders": {}, "transactions": {}}
+                "sort_by": list(sort_by), "folders": {}, "transactions": {}}
         table._publish(head, table.stage(rows.select(*schema.names), head))
         return table
 
@@ -97,16 +101,18 @@ class VersionedTable:
     def _file(self, version: int) -> str:
         return f"{self.path}/versions/{version:012d}.json"
 
-    def _frame(self, head: dict, folders: list[str]) -> DataFrame:
+    def _frame(self, head: dict, folders: list[str], with_file: bool = False) -> DataFrame:
         schema = T.StructType.fromJson(head["schema"])
+        file = [F.col("_metadata.file_path").alias("_from")] if with_file else []
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn("_from", F.lit(None).cast("string")) if with_file else empty
         # clones name folders of another table, so each root is read with its own base path
         roots: dict[str, list[str]] = {}
         for folder in folders:
             roots.setdefault(folder.split("/commit=")[0], []).append(folder)
         frames = [self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
-                      .select(*schema.names) for root, paths in sorted(roots.items())]
+                      .select(*schema.names, *file) for root, paths in sorted(roots.items())]
         return reduce(DataFrame.unionAll, frames)
 
     def stage(self, rows: DataFrame, head: dict, commit: str | None = None) -> dict[str, list[str]]:
@@ -117,8 +123,12 @@ class VersionedTable:
         folder = f"{self.path}/data/commit={commit or uuid.uuid4().hex}"
         column = head["partition_by"]
         names = T.StructType.fromJson(head["schema"]).names
-        writer = rows.select(*names).hint("rebalance", column) if column else rows.select(*names)
-        out = writer.write.mode("overwrite")
+        rows = rows.select(*names)
+        if head.get("sort_by"):
+            rows = rank_evenly(rows, ([column] if column else []) + head["sort_by"])
+        elif column:
+            rows = rows.hint("rebalance", column)
+        out = rows.write.mode("overwrite")
         (out.partitionBy(column) if column else out).parquet(folder)
         return self._folders(folder, column)
 
@@ -140,9 +150,10 @@ class VersionedTable:
         fresh = sorted({f for fs in new["folders"].values() for f in fs} - known)
         return self._frame(new, fresh).count()
 
-    def _publish(self, base: dict, added: dict[str, list[str]], replaced: set[str] = frozenset(),
+    def _publish(self, base: dict, added: dict[str, list[str]], kept: dict[str, list[str]] | None = None,
                  transactions: dict | None = None) -> int:
-        folders = {p: list(fs) for p, fs in base["folders"].items() if p not in replaced}
+        """Publish the version after ``base``: what is kept of it (all, by default) and what is new."""
+        folders = {p: list(fs) for p, fs in (base["folders"] if kept is None else kept).items() if fs}
         for partition, new in added.items():
             folders[partition] = folders.get(partition, []) + new
         version = base["version"] + 1
@@ -166,7 +177,7 @@ class VersionedTable:
 
     def replace(self, rows: DataFrame) -> int:
         base = self.head()
-        return self._publish(base, self.stage(rows, base), set(base["folders"]))
+        return self._publish(base, self.stage(rows, base), kept={})
 
     # ------------------------------------------------------------ snapshot, clone, restore
 
@@ -205,48 +216,66 @@ class VersionedTable:
         """Run changes in order as one version: all of them or none.
 
         The changes fold into one plan that marks rows instead of removing them. One
-        aggregate over the marks gives the affected rows of each change and the partitions
-        touched; only those partitions are written again. Expressions must be deterministic,
-        since the plan runs once for the counts and once for the rows.
+        aggregate over the marks gives the affected rows of each change and the files that
+        hold them; only those files are read and written again. Expressions must be
+        deterministic, since the plan runs once for the counts and once for the rows.
         """
         if not operations:
             raise ValueError("no operations")
         base = self.head()
-        column = base["partition_by"]
         schema = T.StructType.fromJson(base["schema"])
-        rows = self.read(base["version"]).withColumn(
-            "_from", F.col(column) if column else F.lit(WHOLE)).withColumn(
-                "_old", F.lit(True)).withColumn("_gone", F.lit(False))
-        marks: list[str] = []
-        for number, operation in enumerate(operations):
-            mark = f"_hit{number}"
-            rows = self._mark(rows, operation, mark, marks, schema)
-            marks.append(mark)
-        hits = reduce(or_, [F.col(m) for m in marks])
-        per_partition = (rows.where(hits).groupBy("_from", "_old")
-                             .agg(*[F.count_if(F.col(m)).alias(m) for m in marks]).collect())
-        counts = [sum(r[m] for r in per_partition) for m in marks]
-        touched = [r["_from"] for r in per_partition if r["_old"]]
+        marks = [f"_hit{n}" for n in range(len(operations))]
+
+        def fold(paths: list[str]) -> DataFrame:
+            rows = (self._frame(base, paths, with_file=True)
+                        .withColumn("_old", F.lit(True)).withColumn("_gone", F.lit(False)))
+            for number, operation in enumerate(operations):
+                rows = self._mark(rows, operation, marks[number], marks[:number], schema)
+            return rows
+
+        everything = sorted({f for fs in base["folders"].values() for f in fs})
+        changed = fold(everything)
+        # one line per touched file: metadata, like the version file itself
+        per_file = (changed.where(reduce(or_, [F.col(m) for m in marks])).groupBy("_from", "_old")
+                           .agg(*[F.count_if(F.col(m)).alias(m) for m in marks]).collect())
+        counts = [sum(r[m] for r in per_file) for m in marks]
         if not any(counts):
             return counts
-        kept = F.col("_from").isin([t for t in touched if t is not None])
-        if any(t is None for t in touched):
-            kept = kept | F.col("_from").isNull()
-        written = rows.where((~F.col("_old") | F.coalesce(kept, F.lit(False))) & ~F.col("_gone"))
-        added = self.stage(written, base)
-        names = self._folder_names(base)
-        replaced = {names[t] for t in touched}
-        self._publish(base, added, replaced)
+        touched = sorted(r["_from"] for r in per_file if r["_old"])
+        kept, paths = self._without(base, touched)
+        if any(isinstance(o, Merge) for o in operations):
+            # unmatched source rows are decided against the whole table
+            rewritten = changed.where(~F.col("_old") | F.col("_from").isin(touched))
+        else:
+            rewritten = fold(paths)
+        self._publish(base, self.stage(rewritten.where(~F.col("_gone")), base), kept)
         return counts
 
-    @staticmethod
-    def _folder_names(base: dict) -> dict[str | None, str]:
-        """Partition value to manifest key; keys are the escaped folder names Spark wrote."""
-        names: dict[str | None, str] = {}
-        for key in base["folders"]:
-            value = unquote(key.split("=", 1)[1]) if "=" in key else WHOLE
-            names[None if value == "__HIVE_DEFAULT_PARTITION__" else value] = key
-        return names
+    def _without(self, base: dict, touched: list[str]) -> tuple[dict[str, list[str]], list[str]]:
+        """The version's paths less the touched files, and the paths of those files.
+
+        A folder with touched files gives way to the names of its other files. Reported file
+        names are percent-encoded; commit names are unique, so paths compare from there on.
+        """
+        def tail(path: str) -> str:
+            return path.split("/commit=", 1)[1]
+
+        files = {tail(unquote(t)) for t in touched}
+        folders = {f.rsplit("/", 1)[0] for f in files}
+        kept: dict[str, list[str]] = {}
+        taken: list[str] = []
+        for partition, paths in base["folders"].items():
+            kept[partition] = []
+            for path in paths:
+                if tail(path) in files:
+                    taken.append(path)
+                elif tail(path) in folders:
+                    for name in list_names(self.spark, path):
+                        full = f"{path}/{name}"
+                        (taken if tail(full) in files else kept[partition]).append(full)
+                else:
+                    kept[partition].append(path)
+        return kept, taken
 
     def _mark(self, rows: DataFrame, operation, mark: str, marks: list[str],
               schema: T.StructType) -> DataFrame:

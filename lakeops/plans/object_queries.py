@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions import checksum
 from lakeops.operators import object_jobs as jobs
+from lakeops.operators.skew import number_rows
 from lakeops.plans.fixtures import table
 from lakeops.plans.registry import query
 from lakeops.session import list_names, scratch_dir
@@ -34,9 +35,8 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 def objects_composed(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, listing = _document_files(spark, sf_dir)
     out = scratch_dir(spark, "composed")
-    # the listing has one line per file; every 32 files in name order make one object
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("name")) - 1
-    parts = listing.withColumn("position", place).select(
+    # every 32 files in name order make one object
+    parts = number_rows(listing, ["name"], "position").select(
         F.concat(F.lit(f"{out}/joined-"), F.floor(F.col("position") / jobs.COMPOSE_PARTS).cast("string"),
                  F.lit(".json")).alias("target"), "position", "location")
     jobs.compose(parts)

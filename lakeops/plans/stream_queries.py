@@ -95,7 +95,7 @@ def cells_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     drop = errors.select("row_key", F.lit(None).cast("string").alias("family"),
                          F.create_map().cast("map<string,string>").alias("cells"),
                          F.array(F.lit("value")).alias("delete_cells"), F.lit(1).alias("seq"))
-    table_ = VersionedTable.create(spark, scratch_dir(spark, "cells"), cells)
+    table_ = VersionedTable.create(spark, scratch_dir(spark, "cells"), cells, sort_by=["row_key"])
     wide_ops.write_cells(table_, mark.unionByName(drop), "cf1", 1_800_000_000_000_000)
     return table_.read()
 
@@ -104,7 +104,8 @@ def cells_written(spark: SparkSession, sf_dir: str) -> DataFrame:
   with c as ({CELLS_SQL}) select * from c
   where not starts_with(row_key, 'u001') and not (row_key >= 'u0030' and row_key < 'u0050')""")
 def cells_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table_ = VersionedTable.create(spark, scratch_dir(spark, "cells"), cells_of(table(spark, sf_dir, "events")))
+    table_ = VersionedTable.create(spark, scratch_dir(spark, "cells"), cells_of(table(spark, sf_dir, "events")),
+                                   sort_by=["row_key"])
     wide_ops.delete_rows(table_, prefix="u001")
     wide_ops.delete_rows(table_, start="u0030", end="u0050")
     return table_.read()

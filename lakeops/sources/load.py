@@ -14,11 +14,12 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, types as T, Window
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from lakeops.functions.schema import missing_required, relaxed, to_struct_type
-from lakeops.session import scratch_dir
+from lakeops.operators.skew import join_small
+from lakeops.session import materialise, scratch_dir
 
 RAW = "_raw_record"
 # Stands for "no token here"; it cannot occur in decoded text files.
@@ -138,12 +139,13 @@ def _without_leading_rows(rows: DataFrame, skip: int) -> DataFrame:
          .withColumn("_place", F.monotonically_increasing_id())
          .write.parquet(path))
     placed = spark.read.parquet(path)
-    starts = (placed.where("_first").groupBy("_file")
-                    .agg(F.min("_place").alias("_start")))
-    lead = F.col("_first") & (F.col("_place") < F.col("_start") + skip)
-    return (placed.join(starts, "_file", "left")
-                  .where(~F.coalesce(lead, F.lit(False)))
-                  .drop("_file", "_first", "_place", "_start"))
+    starts = materialise(placed.where("_first").groupBy("_file")
+                               .agg(F.min("_place").alias("_start")), "starts")
+    # only records of first splits can lead, so the others need no join
+    first = join_small(placed.where("_first"), starts, ["_file"]).where(
+        F.col("_place") >= F.col("_start") + skip)
+    extra = ["_file", "_first", "_place"]
+    return first.drop("_start", *extra).unionByName(placed.where(~F.col("_first")).drop(*extra))
 
 
 # ---------------------------------------------------------------- JSON lines

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from lakeops.session import materialise
+
 ON = ("CREATE", "UPDATE", "CREATE_OR_UPDATE")
 # Fixed value: allowed names of a change stream.
 STREAM_NAME = r"^[a-zA-Z0-9_]+$"
@@ -47,7 +49,8 @@ def detect_changes(listing: DataFrame, state: DataFrame, on: str = "CREATE_OR_UP
     change = (F.when(F.col("version").isNull(), F.lit(None))
                .when(F.col("_known").isNull(), "CREATE")
                .when(F.col("_known") != F.col("version"), "UPDATE"))
-    compared = both.withColumn("change", change)
+    # written down once: changes and state must come from the same look at the listing
+    compared = materialise(both.withColumn("change", change), "compared")
     fires = F.col("change").isNotNull() if on == "CREATE_OR_UPDATE" else F.col("change") == on
     changed = compared.where(fires).select("uri", "version", "change")
     if max_files is not None:
@@ -98,7 +101,8 @@ def detect_changes_stream(listing: DataFrame, on: str = "CREATE_OR_UPDATE",
     """Streaming form over listing rows ``uri, generation, metageneration``.
 
     State lives in the RocksDB provider, which the session must name in
-    ``spark.sql.streaming.stateStore.providerClass``. Before the shuffle each Arrow batch is
+    ``spark.sql.streaming.stateStore.providerClass``. With a time to live, use a
+    processing-time trigger: the clock keeps an available-now query from ending. Before the shuffle each Arrow batch is
     reduced to the newest version per object, so an object listed very often does not send
     all its rows to one task.
     """

@@ -94,3 +94,17 @@ def test_table_without_partitions_can_become_empty(spark, folder):
     table = VersionedTable.create(spark, f"{folder}/t", spark.range(5))
     assert table.execute(Delete("true")) == 5 and table.read().count() == 0
     assert table.execute(Insert(spark.range(2))) == 2 and table.read().count() == 2
+
+
+def test_only_files_with_hits_are_rewritten(spark, folder):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = VersionedTable.create(spark, f"{folder}/t", spark.range(8000), sort_by=["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = lambda: {r[0] for r in table.read().select(F.input_file_name()).collect()}
+    before = files()
+    assert table.execute(Delete("id = 17")) == 1
+    assert len(before) > 4 and len(before - files()) == 1
+    assert table.execute_batch([Update({"id": "-id"}, "id = 18"), Delete("id = 7999")]) == [1, 1]
+    assert sorted(r[0] for r in table.read().collect()) == [-18, *(i for i in range(7999) if i not in (17, 18))]
