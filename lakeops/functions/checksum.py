@@ -17,9 +17,11 @@ import pandas as pd
 from pyspark.sql import Column, types as T
 from pyspark.sql import functions as F
 
-# The reflected Castagnoli polynomial and the lane width in bytes.
+# The reflected Castagnoli polynomial, the lane width in bytes, and how many
+# bytes are folded together at a time.
 POLYNOMIAL = 0x82F63B78
 LANE = 256
+FOLD_BYTES = 32 * 1024 * 1024
 
 
 @functools.lru_cache(maxsize=1)
@@ -112,7 +114,16 @@ def to_base64(crc: int) -> str:
 def _crc32c_base64(content: pd.Series) -> pd.Series:
     present = content.notna()
     out = pd.Series([None] * len(content), index=content.index, dtype=object)
-    out[present] = [to_base64(c) for c in crc32c_many([bytes(v) for v in content[present]])]
+    sums: list[int] = []
+    waiting: list[bytes] = []
+    size = 0
+    for value in content[present]:
+        waiting.append(bytes(value))
+        size += len(value)
+        if size >= FOLD_BYTES:
+            sums += crc32c_many(waiting)
+            waiting, size = [], 0
+    out[present] = [to_base64(c) for c in sums + crc32c_many(waiting)]
     return out
 
 

@@ -42,9 +42,8 @@ def _select(df: DataFrame, leaf: Callable[[Column, T.DataType, str], Column]) ->
 
 def datetime_text(column: Column) -> Column:
     """ISO text with a closing Z; the fraction appears only when there is one."""
-    whole = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    fraction = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return F.when(F.date_format(column, "SSSSSS") == "000000", whole).otherwise(fraction)
+    text = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.replace(text, F.lit(".000000Z"), F.lit("Z"))
 
 
 def point(column: Column) -> Column:

@@ -23,11 +23,17 @@ _SCALARS = (bool, int, float, str, bytes, bytearray, decimal.Decimal,
 
 @dataclass
 class QueryResult:
-    """``rows`` is lazy; ``size`` is known when the rows were stored or cut to one."""
+    """``rows`` is lazy. ``size`` is known for stored or single rows and counted on demand else."""
     rows: DataFrame
-    size: int | None = None
+    known_size: int | None = None
     uri: str | None = None
 
+    @property
+    def size(self) -> int:
+        if self.known_size is None:
+            self.known_size = self.rows.count()
+        return self.known_size
+
 
 def bind_parameters(params: dict) -> dict:
     """Check and convert named parameters.
@@ -100,7 +106,7 @@ def run_sql(spark: SparkSession, sql: str, fetch_type: str = "FETCH", *, params:
         return store(rows)
     if fetch_type == "FETCH_ONE":
         one = rows.limit(1)
-        return QueryResult(one, size=len(one.head(1)))
+        return QueryResult(one, known_size=len(one.head(1)))
     if fetch_type == "NONE" and not destination and rows.columns:
         rows.write.format("noop").mode("overwrite").save()
     return QueryResult(rows)
@@ -112,7 +118,7 @@ def store(rows: DataFrame, fmt: str = "parquet") -> QueryResult:
     uri = scratch_dir(spark, "result")
     rows.write.format(fmt).save(uri)
     stored = spark.read.schema(rows.schema).format(fmt).load(uri)
-    return QueryResult(stored, size=stored.count(), uri=uri)
+    return QueryResult(stored, known_size=stored.count(), uri=uri)
 
 
 def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
@@ -154,13 +160,23 @@ def number_pages(df: DataFrame, key: str, size: int) -> DataFrame:
     return numbered.withColumn("page", F.floor(F.col("_row") / size) + 1).drop("_row")
 
 
-def query_statistics(df: DataFrame, partition_column: str | None = None,
-                     label: str | None = None) -> DataFrame:
-    """Rows and partitions of a result, and the files and bytes its scan touches."""
+def query_statistics(df: DataFrame, partition_column: str | None = None, label: str | None = None,
+                     scan: DataFrame | None = None, dml_rows: int | None = None) -> DataFrame:
+    """Rows and partitions of a result as one tagged row.
+
+    ``scan``, a frame that reads files directly, adds the files and bytes it touches after
+    pruning; ``dml_rows`` adds the affected rows of a change.
+    """
     partitions = F.count_distinct(partition_column) if partition_column else F.lit(0)
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  partitions.cast("bigint").alias("partitions")).withColumn(
-                      "label", F.lit(label).cast("string"))
+    stats = df.agg(F.count(F.lit(1)).alias("rows"), partitions.cast("bigint").alias("partitions"))
+    if scan is not None:
+        files = scanned_files(scan).agg(F.count(F.lit(1)).alias("input_files"),
+                                        F.coalesce(F.sum("bytes"), F.lit(0)).alias("input_bytes"))
+        # one row each
+        stats = stats.withColumn("_one", F.lit(1)).join(files.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    if dml_rows is not None:
+        stats = stats.withColumn("dml_rows", F.lit(dml_rows).cast("bigint"))
+    return stats.withColumn("label", F.lit(label).cast("string"))
 
 
 def scanned_files(df: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from lakeops.operators.skew import rank_evenly
-from lakeops.session import list_names, put_json_if_absent, read_json
+from lakeops.session import list_names, path_exists, put_json_if_absent, read_json
 
 WHOLE = ""
 
@@ -132,6 +132,21 @@ class VersionedTable:
         (out.partitionBy(column) if column else out).parquet(folder)
         return self._folders(folder, column)
 
+    def stage_flagged(self, rows: DataFrame, flag: str) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+        """Write rows once, split by a boolean column.
+
+        Returns the folders of the false rows and those of the true rows. They lie under a
+        root of their own, since folder levels must agree below one root.
+        """
+        column = self.head()["partition_by"]
+        folder = f"{self.path}/loads/commit={uuid.uuid4().hex}"
+        if column:
+            rows = rows.hint("rebalance", flag, column)
+        rows.write.partitionBy(flag, *([column] if column else [])).parquet(folder)
+        found = [self._folders(f"{folder}/{flag}={value}", column) if path_exists(
+            self.spark, f"{folder}/{flag}={value}") else {} for value in ("false", "true")]
+        return found[0], found[1]
+
     def _folders(self, folder: str, column: str | None) -> dict[str, list[str]]:
         if not column:
             return {WHOLE: [folder]}
@@ -144,6 +159,10 @@ class VersionedTable:
                 for n in list_names(self.spark, f"{self.path}/data", dirs_only=True)
                 if n.startswith(prefix) and n[len(prefix):].isdigit()}
 
+    def count_rows(self, folders: dict[str, list[str]]) -> int:
+        """Rows in folders, from their footers."""
+        return self._frame(self.head(), sorted(f for fs in folders.values() for f in fs)).count()
+
     def added_rows(self, old: dict, new: dict) -> int:
         """Rows in the folders that only the newer version has, counted from their footers."""
         known = {f for fs in old["folders"].values() for f in fs}

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.operators.versioned import VersionedTable
 from lakeops.plans.fixtures import (CELLS_SQL, OBJECTS_SQL, cells_of, documents_of, objects_of,
                                     points_of, table)
 from lakeops.plans.registry import query
 from lakeops.session import fresh_database, scratch_dir
 from lakeops.sources import docs, objects, series, widecol
-from lakeops.sources.load import CsvOptions, create_external_table, load
+from lakeops.sources.load import CsvOptions, create_external_table, load, load_into
 
 PIPE = "|"
 NATION = {"fields": [
@@ -182,9 +183,9 @@ def load_declared_nested_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("load_autodetect", """
-  select column_name as name, case when data_type = 'VARCHAR' then 'string'
-         when data_type in ('INTEGER', 'BIGINT') then 'int' when data_type = 'DOUBLE' then 'double' end as type
-  from duckdb_columns() where table_name = 'part'""")
+  select column_name as name, case when column_type = 'VARCHAR' then 'string'
+         when column_type in ('INTEGER', 'BIGINT') then 'int' when column_type = 'DOUBLE' then 'double' end as type
+  from (describe part)""")
 def load_autodetect(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _csv_copy(table(spark, sf_dir, "part"), header=True)
     got = load(spark, path, "csv", autodetect=True, csv=CsvOptions(delimiter=PIPE, skip_leading_rows=1))
@@ -222,6 +223,18 @@ def external_table_with_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(view).select("c_custkey", "c_acctbal")
 
 
+@query("load_into_versioned_table", """
+  select c_custkey, cast(c_acctbal as decimal(38,9)) as c_acctbal, c_mktsegment as segment from customer
+  where c_acctbal >= 0 and c_mktsegment not in ('MACHINERY', 'BUILDING')""")
+def load_into_versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    everything = table(spark, sf_dir, "customer").count()
+    kind = "c_custkey bigint, c_acctbal decimal(38,9), segment string"
+    target = VersionedTable.create(spark, scratch_dir(spark, "versions"), spark.createDataFrame([], kind), "segment")
+    load_into(target, _dirty_customers(spark, sf_dir), "csv", CUSTOMER, csv=CsvOptions(delimiter=PIPE),
+              max_bad_records=everything, derive={"segment": F.col("c_mktsegment")})
+    return target.read()
+
+
 # ---------------------------------------------------------------- object listings
 
 @query("objects_in_directory", f"""

@@ -11,8 +11,10 @@ from lakeops.operators.skew import number_rows
 from lakeops.plans.fixtures import table
 from lakeops.plans.registry import query
 from lakeops.session import list_names, scratch_dir
+from lakeops.sources.load import input_files
 from lakeops.sources.objects import scan_folder
 
+FILE_BYTES = 128 * 1024 * 1024
 TEXT_SQL = "select doc_id, md5(text) as digest from documents"
 
 
@@ -23,7 +25,9 @@ def _digests(rows: DataFrame) -> DataFrame:
 def _document_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Documents as JSON files, and the listing of those files."""
     path = scratch_dir(spark, "objects")
-    table(spark, sf_dir, "documents").select("doc_id", "text").repartition(8).write.json(path)
+    size = input_files(spark, [f"{sf_dir}/documents.parquet"]).agg(F.sum("length")).first()[0]
+    files = max(8, size // FILE_BYTES)
+    table(spark, sf_dir, "documents").select("doc_id", "text").repartition(files).write.json(path)
     return path, scan_folder(spark, path).where(F.col("name").endswith(".json"))
 
 

@@ -282,6 +282,31 @@ def _stats(spark: SparkSession, rows: int, out_bytes: int, bad: int, size) -> Da
         "output_rows bigint, output_bytes bigint, bad_records bigint, input_files bigint, input_bytes bigint")
 
 
+def load_into(table, paths: str | list[str], fmt: str, schema: dict | T.StructType, *,
+              csv: CsvOptions = CsvOptions(), ignore_unknown_values: bool = False,
+              max_bad_records: int = 0, derive: dict[str, Column] | None = None) -> dict[str, int]:
+    """Load CSV or JSON text into a versioned table, writing the rows only once.
+
+    Good rows are parsed straight into folders of the table, bad ones beside them. The good
+    folders become visible with the next version, and only if the budget holds. ``derive``
+    adds columns, such as the table's partition id.
+    """
+    spark = table.spark
+    uris = check_uris(paths)
+    declared = to_struct_type(schema) if isinstance(schema, dict) else schema
+    flagged = (read_csv_flagged(spark, uris, declared, csv, ignore_unknown_values) if fmt == "csv"
+               else read_json_flagged(spark, uris, declared, ignore_unknown_values))
+    for name, column in (derive or {}).items():
+        flagged = flagged.withColumn(name, column)
+    good, bad = table.stage_flagged(flagged, "_bad")
+    n_bad = table.count_rows(bad)
+    if n_bad > max_bad_records:
+        raise BadRecordsError(n_bad, max_bad_records)
+    if good:
+        table.attach(good)
+    return {"output_rows": table.count_rows(good), "bad_records": n_bad}
+
+
 # ---------------------------------------------------------------- external tables
 
 def create_external_table(spark: SparkSession, name: str, uris: str | list[str], fmt: str,

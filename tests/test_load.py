@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.sources.load import (BadRecordsError, CsvOptions, EmptyInputError, check_uris, load,
+from lakeops.operators.versioned import Delete, VersionedTable
+from lakeops.sources.load import (BadRecordsError, CsvOptions, EmptyInputError, check_uris, load, load_into,
                                   raw_avro_types)
 
 PEOPLE = {"fields": [{"name": "id", "type": "INT64", "mode": "REQUIRED"}, {"name": "name", "type": "STRING"},
@@ -106,3 +107,19 @@ def test_avro_needs_its_package_and_raw_types(spark, folder):
         load(spark, path, "avro")
     raw = raw_avro_types(spark.sql("select date'1970-01-03' as d, timestamp'1970-01-01 00:00:01' as t, 'x' as s"))
     assert tuple(raw.first()) == (2, 1_000_000, "x")
+
+
+@pytest.mark.parametrize("partition", [None, "kind"])
+def test_load_into_versions_publishes_good_rows_only(spark, folder, partition):
+    path = put(folder, "a.csv", DIRTY)
+    empty = spark.createDataFrame([], "id bigint, name string, age bigint, kind string")
+    table = VersionedTable.create(spark, f"{folder}/t", empty, partition)
+    how = {"csv": CsvOptions(delimiter="|", allow_quoted_newlines=True),
+           "derive": {"kind": F.when(F.col("id") > 2, "high").otherwise("low")}}
+    with pytest.raises(BadRecordsError):
+        load_into(table, path, "csv", PEOPLE, max_bad_records=4, **how)
+    assert table.read().count() == 0
+    assert load_into(table, path, "csv", PEOPLE, max_bad_records=5, **how) == {"output_rows": 2, "bad_records": 5}
+    table.append(spark.createDataFrame([(9, "z", 9, "high")], "id bigint, name string, age bigint, kind string"))
+    assert table.execute(Delete("id = 1")) == 1
+    assert sorted((r["id"], r["kind"]) for r in table.read().collect()) == [(5, "high"), (9, "high")]

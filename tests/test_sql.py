@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators.sql import as_script, bind_parameters, flatten, named_parameters, next_page, run_sql
+from lakeops.operators.sql import as_script, bind_parameters, flatten, named_parameters, next_page, query_statistics, run_sql
 from lakeops.session import fresh_database
 
 
@@ -71,3 +71,12 @@ def test_keyset_pages_cover_everything(spark):
         last = got[-1]
     assert seen == list(range(25))
     assert rows.where(F.col("id") < 0).count() == 0
+
+
+def test_statistics_count_pruned_files(spark, folder):
+    spark.range(100).withColumn("p", F.col("id") % 4).repartition("p").write.partitionBy("p").parquet(f"{folder}/t")
+    scan = spark.read.parquet(f"{folder}/t").where("p = 1")
+    row = query_statistics(scan, "p", "quarter", scan, dml_rows=3).first()
+    assert (row["rows"], row["partitions"], row["input_files"], row["dml_rows"], row["label"]) == (25, 1, 1, 3, "quarter")
+    assert row["input_bytes"] > 0
+    assert run_sql(spark, "SELECT 1 AS a").size == 1
