@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.checksum import crc32c_many, fold_ranges
-from lakeops.session import locate, materialise
+from lakeops.session import locate, materialise, ship_package
 
 # Fixed value: the most parts one composed object may have.
 COMPOSE_PARTS = 32
@@ -60,6 +60,7 @@ def _remove(uri: str) -> None:
 
 def _spread(df: DataFrame, *columns: str) -> DataFrame:
     """One object is one unit of work, so rows go to tasks by the hash of a unique name."""
+    ship_package(df.sparkSession)
     tasks = max(df.sparkSession.sparkContext.defaultParallelism * 4, 1)
     return df.repartition(tasks, *columns)
 

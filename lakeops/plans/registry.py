@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -16,6 +18,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # the tables hold zone-free times; UTC keeps casts between the two kinds exact
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return function(spark, sf_dir)
         run.__name__ = name
         QUERIES[name] = run

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import functools
 import json
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -16,6 +18,19 @@ def _local_base() -> str:
     return tempfile.mkdtemp(prefix="/tmp/run-")
 
 
+@functools.lru_cache(maxsize=8)
+def _ship(application_id: str) -> None:
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='/tmp/run-')}/lakeops", "zip",
+                                  os.path.dirname(package), os.path.basename(package))
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for the few Python tasks."""
+    _ship(spark.sparkContext.applicationId)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing directory that every executor can reach.
 

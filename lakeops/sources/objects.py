@@ -9,7 +9,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.session import locate, materialise, qualified
+from lakeops.session import locate, materialise, qualified, ship_package
 
 LISTING_TYPES = ("DIRECTORY", "RECURSIVE")
 FILTERS = ("FILES", "DIRECTORY", "BOTH")
@@ -30,6 +30,7 @@ def scan_folder(spark: SparkSession, path: str, bucket: str = "") -> DataFrame:
     Folders are listed by the executors, one level of the tree per job, and each level is
     written down, so the listing stays one and the same while files come and go.
     """
+    ship_package(spark)
     root = qualified(spark, path).rstrip("/") + "/"
     tasks = spark.sparkContext.defaultParallelism * 4
 

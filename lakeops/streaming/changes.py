@@ -69,31 +69,33 @@ def detect_changes(listing: DataFrame, state: DataFrame, on: str = "CREATE_OR_UP
     return changed, kept
 
 
-class _ObjectVersions(StatefulProcessor):
-    """Keeps the newest version per object and reports when it moves on."""
+def _object_versions(on: str, ttl_ms: int | None) -> StatefulProcessor:
+    """Keeps the newest version per object and reports when it moves on.
 
-    def __init__(self, on: str, ttl_ms: int | None):
-        self.on, self.ttl_ms = on, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "generation bigint, metageneration bigint", self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        newest = max(
-            max(zip(batch["generation"].fillna(0), batch["metageneration"].fillna(0))) for batch in rows)
-        newest = (int(newest[0]), int(newest[1]))
-        old = tuple(self.seen.get()) if self.seen.exists() else None
-        if old is not None and newest <= old:
-            return
-        self.seen.update(newest)
-        change = "CREATE" if old is None else "UPDATE"
-        if self.on in (change, "CREATE_OR_UPDATE"):
-            yield pd.DataFrame({
-                "uri": [key[0]], "change": [change],
-                "version": [f"generation:{newest[0]}_metageneration:{newest[1]}"]})
-
-    def close(self) -> None:
-        pass
+    The class is local, so it travels with the query and needs no module on the other side.
+    """
+    class ObjectVersions(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.seen = handle.getValueState("seen", "generation bigint, metageneration bigint", ttl_ms)
+
+        def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+            newest = max(
+                max(zip(batch["generation"].fillna(0), batch["metageneration"].fillna(0))) for batch in rows)
+            newest = (int(newest[0]), int(newest[1]))
+            old = tuple(self.seen.get()) if self.seen.exists() else None
+            if old is not None and newest <= old:
+                return
+            self.seen.update(newest)
+            change = "CREATE" if old is None else "UPDATE"
+            if on in (change, "CREATE_OR_UPDATE"):
+                yield pd.DataFrame({
+                    "uri": [key[0]], "change": [change],
+                    "version": [f"generation:{newest[0]}_metageneration:{newest[1]}"]})
+
+        def close(self) -> None:
+            pass
+
+    return ObjectVersions()
 
 
 def detect_changes_stream(listing: DataFrame, on: str = "CREATE_OR_UPDATE",
@@ -119,7 +121,7 @@ def detect_changes_stream(listing: DataFrame, on: str = "CREATE_OR_UPDATE",
                              F.col("metageneration").cast("bigint")).mapInPandas(newest, columns)
     # only a time to live needs a clock
     return reduced.groupBy("uri").transformWithStateInPandas(
-        _ObjectVersions(on, ttl_ms), "uri string, change string, version string",
+        _object_versions(on, ttl_ms), "uri string, change string, version string",
         outputMode="append", timeMode="ProcessingTime" if ttl_ms else "None")
 
 
