@@ -98,6 +98,10 @@ class VersionedTable:
         head = self.head(version)
         return self._frame(head, sorted({f for fs in head["folders"].values() for f in fs}))
 
+    def register(self, view: str, version: int | None = None) -> None:
+        """Make a version known to SQL as a session view."""
+        self.read(version).createOrReplaceTempView(view)
+
     def _file(self, version: int) -> str:
         return f"{self.path}/versions/{version:012d}.json"
 

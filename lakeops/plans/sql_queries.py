@@ -140,6 +140,57 @@ def sql_set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
         UNION ALL (SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier)""").rows
 
 
+@query("sql_cube_distinct", """
+  select l_returnflag, l_linestatus, count(distinct l_orderkey) as orders, count(*) as n from lineitem
+  group by cube (l_returnflag, l_linestatus)""")
+def sql_cube_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir, "lineitem")
+    return sql.run_sql(spark, """
+        SELECT l_returnflag, l_linestatus, count(DISTINCT l_orderkey) AS orders, count(*) AS n FROM lineitem
+        GROUP BY CUBE (l_returnflag, l_linestatus)""").rows
+
+
+@query("sql_date_functions", """
+  select strftime(date_trunc('quarter', o_orderdate), '%Y-%m-%d') as quarter, cast(floor(o_totalprice / 100000) + 1 as bigint) as band,
+         count(*) as n, cast(sum(len(generate_series(1, month(o_orderdate)))) as bigint) as months
+  from orders where o_totalprice < 500000 group by 1, 2""")
+def sql_date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir, "orders")
+    return sql.run_sql(spark, """
+        SELECT date_format(date_trunc('QUARTER', o_orderdate), 'yyyy-MM-dd') AS quarter,
+               width_bucket(o_totalprice, 0D, 500000D, 5) AS band, count(*) AS n,
+               CAST(sum(size(sequence(1, month(o_orderdate)))) AS BIGINT) AS months
+        FROM orders WHERE o_totalprice < 500000 GROUP BY 1, 2""").rows
+
+
+@query("sql_constructors", """
+  select event_id, event_type || '/' || user_id as joined, cast(json_extract(props, '$.k') as bigint) as k,
+         epoch_us(ts + interval 1 day) as tomorrow, value as lon, -value as lat, user_id in (1, 2, 3) as early
+  from events""")
+def sql_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir, "events")
+    return sql.run_sql(spark, """
+        SELECT event_id, array_join(array(s.kind, CAST(s.user AS STRING)), '/') AS joined,
+               variant_get(j, '$.k', 'bigint') AS k, unix_micros(CAST(t.stop AS TIMESTAMP)) AS tomorrow,
+               point[0] AS lon, point[1] AS lat, array_contains(@few, s.user) AS early
+        FROM (SELECT event_id, named_struct('kind', event_type, 'user', user_id) AS s, parse_json(props) AS j,
+                     named_struct('start', ts, 'stop', ts + INTERVAL 1 DAY) AS t, array(value, -value) AS point
+              FROM events)""", params={"few": [1, 2, 3]}).rows
+
+
+@query("sql_ddl_and_insert", """
+  select o_orderpriority, count(*) as n from orders where o_orderstatus in ('F', 'P') group by 1""")
+def sql_ddl_and_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = fresh_database(spark, "ddl")
+    spark.sql(f"CREATE TABLE {database}.orders USING parquet LOCATION '{sf_dir}/orders.parquet'")
+    return sql.run_sql(spark, """
+        CREATE TABLE kept USING parquet PARTITIONED BY (o_orderpriority) AS
+          SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F';
+        INSERT INTO kept SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P';
+        DROP TABLE IF EXISTS nothing_here;
+        SELECT o_orderpriority, count(*) AS n FROM kept GROUP BY o_orderpriority""", default_dataset=database).rows
+
+
 # ---------------------------------------------------------------- cells, flattening, paging
 
 @query("normalise_cells", """

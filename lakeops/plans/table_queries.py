@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import partitions as parts
 from lakeops.operators.export import extract
 from lakeops.operators.lifecycle import LifecycleRule, lifecycle
-from lakeops.operators.sql import store
+from lakeops.operators.sql import run_sql, store
 from lakeops.operators.tables import (copy_tables, create_table, expire, table_metadata, write_table)
 from lakeops.operators.versioned import Delete, Insert, Merge, Update, VersionedTable
 from lakeops.operators.views import InlineFunction, MaterializedView, create_view
@@ -263,6 +263,20 @@ def snapshot_and_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.read()
 
 
+@query("sql_over_versions", """
+  select o_orderstatus, count(*) as n, cast(0 as bigint) as deleted from orders where o_orderstatus <> 'F' group by 1
+  union all select 'F', cast(0 as bigint), count(*) from orders where o_orderstatus = 'F'""")
+def sql_over_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _orders(spark, sf_dir)
+    orders.execute(Delete("o_orderstatus = 'F'"))
+    orders.register("orders_now")
+    orders.register("orders_before", version=0)
+    return run_sql(spark, """
+        SELECT b.o_orderstatus, coalesce(n, 0L) AS n, before - coalesce(n, 0L) AS deleted
+        FROM (SELECT o_orderstatus, count(*) AS before FROM orders_before GROUP BY 1) b
+        LEFT JOIN (SELECT o_orderstatus, count(*) AS n FROM orders_now GROUP BY 1) a USING (o_orderstatus)""").rows
+
+
 @query("clone_is_independent", f"with o as ({ORDERS_SQL}) select * from o where o_orderstatus <> 'F'")
 def clone_is_independent(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir)

@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,13 +32,7 @@ def publish(df: DataFrame, path: str, serde: str = "STRING", order: str = "seq")
     range partitioning: a key's messages stay in order along the part files, and a key with
     very many messages simply covers several files.
     """
-    check_serde(serde)
-    fields = df.schema
-    encoded = df.withColumn("data", encode_payload(F.col("data"), fields["data"].dataType, serde))
-    for name, kind in (("attributes", "map<string,string>"), ("message_id", "string"), ("ordering_key", "string")):
-        if name not in df.columns:
-            encoded = encoded.withColumn(name, F.lit(None).cast(kind))
-    encoded = encoded.withColumn("message_id", F.coalesce("message_id", F.uuid()))
+    encoded = _encoded(df, serde)
     ordered = encoded.where(F.trim("ordering_key") != "").select("ordering_key").head(1)
     keep = ["data", "attributes", "message_id", "ordering_key"]
     if ordered and order in df.columns:
@@ -47,6 +42,45 @@ def publish(df: DataFrame, path: str, serde: str = "STRING", order: str = "seq")
     return df.count()
 
 
+def _encoded(df: DataFrame, serde: str) -> DataFrame:
+    check_serde(serde)
+    encoded = df.withColumn("data", encode_payload(F.col("data"), df.schema["data"].dataType, serde))
+    for name, kind in (("attributes", "map<string,string>"), ("message_id", "string"), ("ordering_key", "string")):
+        if name not in df.columns:
+            encoded = encoded.withColumn(name, F.lit(None).cast(kind))
+    return encoded.withColumn("message_id", F.coalesce("message_id", F.uuid()))
+
+
+def publish_kafka(df: DataFrame, topic: str, options: dict[str, str], serde: str = "STRING") -> int:
+    """The same messages to a Kafka topic: the ordering key is the record key, attributes and
+    message id are headers."""
+    header = F.transform(F.map_entries(F.coalesce("attributes", F.create_map().cast("map<string,string>"))),
+                         lambda e: F.struct(e["key"].alias("key"), e["value"].cast("binary").alias("value")))
+    own = F.array(F.struct(F.lit("message_id").alias("key"), F.col("message_id").cast("binary").alias("value")))
+    records = _encoded(df, serde).select(
+        F.col("ordering_key").alias("key"), F.col("data").alias("value"), F.concat(header, own).alias("headers"))
+    try:
+        records.write.format("kafka").options(**options).option("topic", topic).option(
+            "includeHeaders", "true").save()
+    except AnalysisException as error:
+        raise RuntimeError("Kafka topics need the spark-sql-kafka package on the classpath") from error
+    return df.count()
+
+
+def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """A Kafka stream in message form; the record position stands in for a missing message id."""
+    try:
+        records = spark.readStream.format("kafka").options(**options).option("includeHeaders", "true").load()
+    except AnalysisException as error:
+        raise RuntimeError("Kafka topics need the spark-sql-kafka package on the classpath") from error
+    headers = F.map_from_entries(F.transform("headers", lambda h: F.struct(h["key"], h["value"].cast("string"))))
+    place = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    return records.select(F.col("value").alias("data"), headers.alias("attributes"), "key", place.alias("place")).select(
+        "data", F.map_filter("attributes", lambda k, _: k != "message_id").alias("attributes"),
+        F.coalesce(F.col("attributes")["message_id"], "place").alias("message_id"),
+        F.col("key").cast("string").alias("ordering_key"))
+
+
 def consume_batch(messages: DataFrame, serde: str = "STRING", max_records: int | None = None,
                   max_duration: float | None = None, checkpoint: str | None = None,
                   path: str | None = None) -> Consumed:

@@ -53,6 +53,17 @@ def test_skips_leading_rows_of_every_file(spark, folder):
         assert got.rows.where(F.col("id") < skip).count() == 0
 
 
+def test_skips_leading_rows_of_files_read_in_many_splits(spark, folder):
+    for name in "ab":
+        put(folder, f"{name}.csv", "".join(f"{i},{'x' * 20},{i}\n" for i in range(400)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = load(spark, folder, "csv", PEOPLE, csv=CsvOptions(skip_leading_rows=3))
+        assert sorted(r["id"] for r in got.rows.collect()) == sorted([*range(3, 400)] * 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_latin_text(spark, folder):
     path = put(folder, "l.csv", "1,José,3\n", "iso-8859-1")
     assert load(spark, path, "csv", PEOPLE, csv=CsvOptions(encoding="ISO-8859-1")).rows.first()["name"] == "José"

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.versioned import VersionedTable
 from lakeops.streaming import changes, watch
-from lakeops.streaming.consume import consume_batch, consume_stream, poll, publish
+from lakeops.streaming.consume import consume_batch, consume_stream, poll, publish, publish_kafka, read_kafka
 from lakeops.streaming.write_stream import stream_write
 
 MESSAGES = "data string, attributes map<string,string>, message_id string, ordering_key string, seq bigint"
@@ -45,6 +45,14 @@ def test_json_payloads(spark, folder):
         consume_batch(spark.read.parquet(f"{folder}/s"), "JSON", max_records=9)
 
 
+def test_kafka_needs_its_package(spark):
+    options = {"kafka.bootstrap.servers": "nowhere:1", "subscribe": "t"}
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        publish_kafka(spark.sql("select 'a' as data, map('k', 'v') as attributes"), "t", options)
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_kafka(spark, options)
+
+
 def test_order_per_key_along_the_files(spark, folder):
     rows = spark.range(4000).select(
         F.col("id").cast("string").alias("data"), F.when(F.col("id") % 3 == 0, "hot").otherwise(
