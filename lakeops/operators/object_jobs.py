@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from lakeops.functions.checksum import crc32c_many, fold_ranges
 from lakeops.session import locate, materialise, ship_package
 
-# Fixed value: the most parts one composed object may have.
+# The most parts one composed object may have, the copy buffer, and what may
+# happen to a source after it was read.
 COMPOSE_PARTS = 32
 BUFFER = 8 * 1024 * 1024
 ACTIONS = ("NONE", "MOVE", "DELETE")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakeops.operators.skew import number_rows
 from lakeops.session import scratch_dir
 
+# Result modes.
 FETCH_TYPES = ("NONE", "FETCH", "FETCH_ONE", "STORE")
 # Quoted text, quoted names and comments, which are never rewritten.
 _QUOTED = r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/"

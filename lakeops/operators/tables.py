@@ -11,6 +11,7 @@ from lakeops.functions.schema import relaxed, to_struct_type
 from lakeops.operators.partitions import PARTITION, drop_partitions, list_partitions
 from lakeops.operators.skew import rank_evenly
 
+# Write and create dispositions, and allowed schema updates.
 WRITES = ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY")
 CREATES = ("CREATE_IF_NEEDED", "CREATE_NEVER")
 SCHEMA_UPDATES = ("ALLOW_FIELD_ADDITION", "ALLOW_FIELD_RELAXATION")

@@ -249,10 +249,12 @@ def load(spark: SparkSession, paths: str | list[str], fmt: str, schema: dict | T
                           T.StructField("_bad", T.BooleanType())])).parquet(path)
         good = staged.where(~F.col("_bad")).drop("_bad", RAW)
         bad = staged.where("_bad").select(RAW)
-        n_bad = bad.count()
+        # two lines; the flag is a folder name, so this reads file footers only
+        counted = {r["_bad"]: r["count"] for r in staged.groupBy("_bad").count().collect()}
+        n_good, n_bad = counted.get(False, 0), counted.get(True, 0)
         if n_bad > max_bad_records:
             raise BadRecordsError(n_bad, max_bad_records)
-        out = input_files(spark, [f"{path}/_bad=false"]) if good.head(1) else None
+        out = input_files(spark, [f"{path}/_bad=false"]) if n_good else None
     else:
         if fmt == "avro":
             good = read_avro(spark, uris, use_logical_types)
@@ -270,9 +272,10 @@ def load(spark: SparkSession, paths: str | list[str], fmt: str, schema: dict | T
                 raise BadRecordsError(n_bad, max_bad_records)
             good = good.where(~missing_required(declared))
         bad = good.limit(0)
+        n_good = good.count()
         out = input_files(spark, uris)
     out_bytes = out.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0] if out is not None else 0
-    stats = _stats(spark, good.count(), out_bytes, n_bad, size)
+    stats = _stats(spark, n_good, out_bytes, n_bad, size)
     return LoadResult(good, bad, stats, declared, int((time.monotonic() - began) * 1000))
 
 

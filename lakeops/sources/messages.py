@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
+# Payload forms.
 SERDES = ("STRING", "JSON")
 
 

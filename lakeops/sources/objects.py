@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.session import locate, materialise, qualified, ship_package
 
+# Listing modes, filters and the default cap.
 LISTING_TYPES = ("DIRECTORY", "RECURSIVE")
 FILTERS = ("FILES", "DIRECTORY", "BOTH")
 DEFAULT_MAX_FILES = 25

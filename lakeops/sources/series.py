@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.skew import nest_groups
 
+# Fixed value: the default look-back.
 DEFAULT_WINDOW = "INTERVAL 5 MINUTES"
 
 

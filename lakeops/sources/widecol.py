@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.skew import nest_groups
 
+# The fields of a cell, and the row cap of FETCH without a limit.
 CELL = ["family", "qualifier", "value", "timestamp"]
 FETCH_CAP = 5000
 

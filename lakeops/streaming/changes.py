@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lakeops.session import materialise
 
+# What a change detection reports.
 ON = ("CREATE", "UPDATE", "CREATE_OR_UPDATE")
 # Fixed value: allowed names of a change stream.
 STREAM_NAME = r"^[a-zA-Z0-9_]+$"

@@ -12,6 +12,7 @@ from lakeops.operators.sql import run_sql
 from lakeops.sources.series import DEFAULT_WINDOW, query_series
 from lakeops.sources.widecol import key_filter
 
+# Fixed value: most rows of one poll.
 POLL_CAP = 1000
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from lakeops.operators.versioned import VersionedTable
 from lakeops.session import scratch_dir
 
+# Delivery modes.
 MODES = ("DEFAULT", "COMMITTED", "PENDING")
 
 
