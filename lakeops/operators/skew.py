@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +28,11 @@ def nest_groups(df: DataFrame, keys: list[str], items: list[str], order: list[st
         counts.where(F.col("_n") > max_items).select(
             *keys, F.ceil(F.col("_n") / max_items).cast("int").alias("_parts")), "long_keys")
     if long_keys.head(1):
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.col("_parts")).cast("int")
-        rows = join_small(df, long_keys, keys, "left").withColumn("part", F.coalesce(spread, F.lit(0)))
+        # the salt is written down with the rows, so a repeated task cannot deal them out
+        # differently; it also spreads entries that are copies of each other
+        salted = materialise(df.withColumn("_salt", F.monotonically_increasing_id()), "salted")
+        spread = F.pmod(F.xxhash64("_salt"), F.col("_parts")).cast("int")
+        rows = join_small(salted, long_keys, keys, "left").withColumn("part", F.coalesce(spread, F.lit(0)))
     else:
         rows = df.withColumn("part", F.lit(0))
     entry = F.struct(*[F.col(c) for c in order + [i for i in items if i not in order]])
@@ -46,24 +52,31 @@ def newest_within_budget(df: DataFrame, keys: list[str], position: str, cost: Co
                          budget: int, block: int = 4096) -> DataFrame:
     """Rows of each key whose cost, summed from the newest position down, fits the budget.
 
-    Two levels: the totals of fixed blocks of positions are accumulated first, blocks that
-    start beyond the budget are dropped there, and only the rest is summed row by row,
-    inside one block at a time.
+    Rows of one position count together. Costs are added up per position first, which
+    combines map-side; the totals of fixed blocks of positions are accumulated next, blocks
+    that start beyond the budget are dropped there, and the rest is summed inside one block
+    at a time. Whole rows move once, to meet the positions that fit.
     """
-    blocks = [*keys, "_block"]
-    tagged = (df.withColumn("_block", F.floor(F.col(position) / block))
-                .withColumn("_cost", cost))
+    places, blocks = [*keys, position], [*keys, "_block"]
+    costs = (df.groupBy(*places).agg(F.sum(cost).alias("_cost"))
+               .withColumn("_block", F.floor(F.col(position) / block)))
     newer_blocks = (Window.partitionBy(*keys).orderBy(F.desc("_block"))
                           .rowsBetween(Window.unboundedPreceding, -1))
-    reachable = (tagged.groupBy(*blocks).agg(F.sum("_cost").alias("_total"))
-                       .withColumn("_newer", F.coalesce(F.sum("_total").over(newer_blocks), F.lit(0)))
-                       .where(F.col("_newer") <= budget)
-                       .select(*blocks, "_newer"))
-    inside = Window.partitionBy(*blocks).orderBy(F.desc(position))
-    return (tagged.join(reachable, blocks)
-                  .withColumn("_used", F.col("_newer") + F.sum("_cost").over(inside))
-                  .where(F.col("_used") <= budget)
-                  .drop("_block", "_cost", "_newer", "_used"))
+    reachable = (costs.groupBy(*blocks).agg(F.sum("_cost").alias("_total"))
+                      .withColumn("_newer", F.coalesce(F.sum("_total").over(newer_blocks), F.lit(0)))
+                      .where(F.col("_newer") <= budget)
+                      .select(*[F.col(c).alias(f"_r_{c}") for c in blocks], "_newer"))
+    inside = Window.partitionBy(*blocks).orderBy(F.desc(position)).rowsBetween(Window.unboundedPreceding, 0)
+    fitting = (costs.join(reachable, _same(costs, reachable, blocks, "_r_"))
+                    .withColumn("_used", F.col("_newer") + F.sum("_cost").over(inside))
+                    .where(F.col("_used") <= budget)
+                    .select(*[F.col(c).alias(f"_f_{c}") for c in places]))
+    return df.join(fitting, _same(df, fitting, places, "_f_"), "left_semi")
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str], prefix: str) -> Column:
+    """Equality of columns with their prefixed twins; null equals null, as in a group."""
+    return reduce(and_, [left[c].eqNullSafe(right[f"{prefix}{c}"]) for c in columns])
 
 
 def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -88,7 +101,23 @@ def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def rank_evenly(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Range-partition and sort by ``columns``; equal values may still spread over tasks."""
+    """Range-partition and sort by ``columns``; equal values may still spread over tasks.
+
+    Rows with equal values are told apart by a hash of the whole row. Copies of one row have
+    the same hash; where a sample shows that they are many, rows get a written-down salt too.
+    """
     plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in plain])
-    return df.repartitionByRange(*[F.col(c) for c in columns], tie).sortWithinPartitions(*columns)
+    keys = [F.col(c) for c in columns] + [tie]
+    if not _many_copies(df, tie):
+        return df.repartitionByRange(*keys).sortWithinPartitions(*columns)
+    salted = materialise(df.withColumn("_salt", F.monotonically_increasing_id()), "salted")
+    return (salted.repartitionByRange(*keys, F.xxhash64("_salt")).drop("_salt")
+                  .sortWithinPartitions(*columns))
+
+
+def _many_copies(df: DataFrame, row_hash: Column, fraction: float = 0.001, share: float = 0.02) -> bool:
+    """Whether one row makes up more than ``share`` of a sample. Decides speed, not results."""
+    counts = df.sample(fraction, seed=1).groupBy(row_hash.alias("_h")).count()
+    seen = counts.agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    return bool(seen["all"]) and seen["all"] >= 500 and seen["most"] > share * seen["all"]

@@ -21,6 +21,24 @@ def test_long_groups_come_in_parts(spark):
     assert max(len(r["vs"]) for r in parts) < 400
 
 
+def test_copies_in_a_long_group_spread(spark):
+    copies = spark.range(2000).select(F.lit(1).alias("k"), F.lit(7).alias("v"))
+    nested = nest_groups(copies, ["k"], ["v"], ["v"], "vs", max_items=100).collect()
+    assert len(nested) == 20 and sum(len(r["vs"]) for r in nested) == 2000
+    assert max(len(r["vs"]) for r in nested) < 300
+
+
+def test_copies_of_one_row_spread_when_clustered(spark):
+    df = spark.range(1_500_000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("c"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = rank_evenly(df, ["c"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in sizes) == 1_500_000
+    assert max(r["count"] for r in sizes) < 400_000
+
+
 def test_budget_matches_brute_force(spark):
     random.seed(1)
     turns = [(0, t, random.randint(0, 9)) for t in range(5000)] + [
@@ -38,6 +56,12 @@ def test_budget_matches_brute_force(spark):
         assert set(map(tuple, got)) == expected and len(got) == len(expected)
 
 
+def test_rows_of_one_position_count_together(spark):
+    df = spark.createDataFrame([(None, 1, 5), (None, 1, 5), (None, 0, 1), (1, 0, 3)], "c bigint, t bigint, n bigint")
+    keep = lambda budget: sorted(map(str, newest_within_budget(df, ["c"], "t", F.col("n"), budget).select("t", "n").collect()))
+    assert len(keep(9)) == 1 and len(keep(10)) == 3 and len(keep(11)) == 4
+
+
 def test_row_numbers_have_no_gaps(spark):
     df = hot(spark, 2000).withColumn("h", F.xxhash64("v"))
     got = number_rows(df, ["k", "h"], "n").orderBy("n").collect()
