@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm.common import table
+from lakeops.llm.common import documents, table
+from lakeops.llm.decontaminate import decontaminate
+from lakeops.llm.simhash import near_duplicates
 from lakeops.llm.url_filters import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +52,39 @@ fits as (
     on (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path))
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fits where place = 1
 """
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op8_decontamination"] = r"""
+with doc_words as (
+  select doc_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+item_words as (
+  select item_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+item_windows as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win
+  from (select item_id, w, least(len(w), 10) as n,
+               unnest(range(1, (len(w) - least(len(w), 10) + 2)::bigint)) as i from item_words where len(w) > 0)),
+doc_windows as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win
+  from (select doc_id, w, n, unnest(range(1, (len(w) - n + 2)::bigint)) as i
+        from doc_words, (select distinct n from item_windows) where len(w) >= n)),
+hits as (select doc_id, item_id, i, n from doc_windows join item_windows using (n, win)),
+hit_words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by 1),
+hit_items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item_id::varchar as item from hits) group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hit_words using (doc_id) left join hit_items using (doc_id)
+"""
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), shingle=3, radius=2)
