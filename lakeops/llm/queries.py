@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.llm.common import documents, table
+from lakeops.llm import quality_classifier
+from lakeops.llm.common import documents, id_bucket, table
 from lakeops.llm.decontaminate import decontaminate
+from lakeops.llm.language import identify
 from lakeops.llm.simhash import near_duplicates
 from lakeops.llm.url_filters import filter_urls
 
@@ -88,3 +91,17 @@ from doc_words left join hit_words using (doc_id) left join hit_items using (doc
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=3, radius=2)
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_bucket(F.col("doc_id"), 4) == 2
+    return identify(documents(spark, sf_dir), held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), id_bucket(F.col("doc_id"), 5) == 0
+    weights = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return (quality_classifier.score(docs, weights)
+            .select("doc_id", held_out.alias("held_out"), "score", "predicted"))
