@@ -2,8 +2,8 @@
 
 A text is cut into runs of letters, of digits and of other marks. Each run counts as itself and by
 its shape (lower case, capitalised, upper case, digits, marks), alone and with its successor, hashed
-into ``2 ** DIMENSION_BITS`` weights; a run that repeats the one before it counts as a repetition,
-whatever it is. Values are square roots of counts, scaled to length 1. The weights are learned by
+into ``2 ** DIMENSION_BITS`` weights; a run that repeats the one before it, or the one before that,
+counts as a repetition, whatever it is. Values are square roots of counts, scaled to length 1. The weights are learned by
 FTRL-proximal, whose L1 term leaves most of them zero, and go to the executors, where every whole
 text is scored as a sparse dot product.
 
@@ -62,9 +62,9 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     mix, step = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
     shapes = numbers & np.uint64(7)
     pairs = numbers[:-1] * step + numbers[1:]
-    same = numbers[:-1] == numbers[1:]
+    again = numbers[:-2] == numbers[2:]
     all_of = np.concatenate([
-        numbers, np.where(same, np.uint64(3), pairs), shapes + np.uint64(1 << 50),
+        numbers, np.where(numbers[:-1] == numbers[1:], np.uint64(3), pairs), np.full(again.sum(), 5, np.uint64), shapes + np.uint64(1 << 50),
         shapes[:-1] * np.uint64(8) + shapes[1:] + np.uint64(1 << 51)])
     places, counts = np.unique((((all_of ^ (all_of >> np.uint64(29))) * mix) >> top).astype(np.int64), return_counts=True)
     values = np.sqrt(counts)
