@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,8 @@ from lakeops.llm import quality_classifier
 from lakeops.llm.common import documents, id_bucket, table
 from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.language import identify
+from lakeops.llm.packing import pack_documents
+from lakeops.llm.sharding import shard
 from lakeops.llm.simhash import near_duplicates
 from lakeops.llm.url_filters import filter_urls
 
@@ -105,3 +108,15 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     return (quality_classifier.score(docs, weights)
             .select("doc_id", held_out.alias("held_out"), "score", "predicted"))
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(documents(spark, sf_dir), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
