@@ -52,18 +52,16 @@ class WordIds(dict):
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        self.encode = _tokenizer(path).encode_batch
+        self.encode = _tokenizer(path).encode
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > _KNOWN_LIMIT:
+            self.clear()
+        ids = self[word] = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return ids
 
     def of_text(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        new = [w for w in set(words) if w not in self]
-        if new:
-            if len(self) > _KNOWN_LIMIT:
-                self.clear()
-                new = list(set(words))
-            for word, found in zip(new, self.encode(new, add_special_tokens=False)):
-                self[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def tokenize(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
