@@ -13,6 +13,7 @@ from lakeops.llm.common import documents, id_bucket, table
 from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.language import identify
 from lakeops.llm.packing import pack_documents
+from lakeops.llm.quality_rules import apply_rules
 from lakeops.llm.sharding import shard
 from lakeops.llm.simhash import near_duplicates
 from lakeops.llm.url_filters import filter_urls
@@ -120,3 +121,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(documents(spark, sf_dir), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
