@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -59,6 +60,19 @@ def texts_as_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [b"" if v is None else v for v in column(batch, name).cast(pa.binary()).to_pylist()]
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; shuffles that only it needed may go.
+
+    Spark removes the files of a shuffle when the driver has collected the plan that made it, which
+    may be long after; asking for it keeps the disk that a chain of steps holds near that of one.
+    """
+    written = materialise(df, label)
+    del df
+    gc.collect()
+    written.sparkSession._jvm.System.gc()
+    return written
+
+
 def task_number() -> int:
     context = TaskContext.get()
     return context.partitionId() if context else 0

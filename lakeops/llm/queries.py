@@ -12,6 +12,7 @@ from lakeops.llm import quality_classifier
 from lakeops.llm.common import documents, id_bucket, table
 from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.language import identify
+from lakeops.llm.line_dedup import dedup_lines
 from lakeops.llm.packing import pack_documents
 from lakeops.llm.quality_rules import apply_rules
 from lakeops.llm.sharding import shard
@@ -127,3 +128,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(documents(spark, sf_dir), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
