@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import column, map_batches, slices, texts_as_bytes
+from lakeops.llm.common import column, map_batches, settle, slices, texts_as_bytes
 from lakeops.llm.components import connected_components
 from lakeops.session import materialise
 
@@ -124,3 +124,98 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     known = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     return (prints.join(of_print, "fp")
                   .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), known))
+
+
+def passages(hashes: np.ndarray, length: int) -> list[np.ndarray]:
+    """Runs of shingles that begin where a hash is a multiple of ``length``, so that an edit changes only
+    the runs that it touches; and the whole text."""
+    cuts = np.flatnonzero(hashes % np.uint64(length) == 0)
+    parts = [p for p in np.split(hashes, cuts) if len(p)]
+    return [hashes] if len(parts) < 2 else [hashes, *parts]
+
+
+def _passage_keys(docs: DataFrame, shingle: int, length: int, masks: list[int]) -> DataFrame:
+    """doc_id and, for each passage and mask, a key of 64 bits."""
+    def compute(batches):
+        kept = [np.uint64(m) for m in masks]
+        for batch in batches:
+            for part in slices(batch):
+                rows, keys = [], []
+                for i, text in enumerate(texts_as_bytes(part)):
+                    hashes = shingle_hashes(text.lower().split(), shingle)
+                    prints = np.array([fingerprint(p) for p in passages(hashes, length)], np.uint64)
+                    own = np.unique(np.concatenate([
+                        ((prints & m) ^ np.uint64(t + 1)) * np.uint64(0x9E3779B97F4A7C15) for t, m in enumerate(kept)]))
+                    rows += [i] * len(own)
+                    keys.append(own)
+                made = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id").take(pa.array(rows, pa.int64())), pa.array(made)],
+                                                 names=["doc_id", "key"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", "text"), f"doc_id {kind}, key bigint", compute)
+
+
+def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id and the sorted distinct shingle hashes of its text, as bytes."""
+    def compute(batches):
+        for batch in batches:
+            for part in slices(batch):
+                sets = [np.unique(shingle_hashes(t.lower().split(), shingle)).astype("<u8").tobytes()
+                        for t in texts_as_bytes(part)]
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "set"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", "text"), f"doc_id {kind}, set binary", compute)
+
+
+def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets have at least ``similarity`` of their union in common."""
+    def compare(batches):
+        for batch in batches:
+            kept = []
+            for left, right in zip(column(batch, "set").to_pylist(), column(batch, "other_set").to_pylist()):
+                a, b = np.frombuffer(left, "<u8"), np.frombuffer(right, "<u8")
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                kept.append(both >= similarity * (len(a) + len(b) - both))
+            yield batch.select(["doc_id", "other"]).filter(pa.array(kept, pa.bool_()))
+
+    kind = pairs.schema["doc_id"].dataType.simpleString()
+    return map_batches(pairs, f"doc_id {kind}, other {kind}", compare)
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, length: int = 32,
+                         radius: int = 1) -> DataFrame:
+    """``docs`` without the documents whose group of near-duplicates has a smaller doc_id.
+
+    Near-duplicates share ``similarity`` of their distinct word shingles. A SimHash of a whole text
+    moves by a tenth of its bits at that similarity, far beyond any radius that covering masks can
+    serve, so the texts' passages have fingerprints too: of the passages of two near-duplicates
+    most are equal. Under each mask, documents with a passage in common are held against the first
+    and the last of them, whatever their number, and every link is verified on the whole sets of
+    shingles. Equal texts count as one document first. Rows with a null doc_id stay; rows that
+    repeat a doc_id stand or fall together.
+    """
+    known = docs.where("doc_id is not null").select("doc_id", "text")
+    same = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("same")
+    hashed = settle(known.select("doc_id", same), "text_hashes")
+    firsts = hashed.groupBy("same").agg(F.min("doc_id").alias("first_id"))
+    copies = settle(hashed.join(settle(firsts, "first_texts"), "same").where("doc_id != first_id")
+                          .select("doc_id", F.col("first_id").alias("other")), "copies")
+    keys = settle(_passage_keys(known, shingle, length, covering_masks(radius))
+                  .join(copies.select("doc_id"), "doc_id", "left_anti"), "passage_keys")
+    ends = (keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low != high"))
+    pairs = settle(keys.join(ends, "key").select("doc_id", F.explode(F.array("low", "high")).alias("other"))
+                       .where("doc_id != other")
+                       .select(F.least("doc_id", "other").alias("doc_id"), F.greatest("doc_id", "other").alias("other"))
+                       .distinct(), "near_pairs")
+    wanted = pairs.select("doc_id").union(pairs.select("other")).distinct()
+    sets = settle(_shingle_sets(known.join(wanted, "doc_id", "left_semi"), shingle)
+                  .dropDuplicates(["doc_id"]), "shingle_sets")
+    held = (pairs.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("other"), F.col("set").alias("other_set")), "other")
+                 .where("least(length(set), length(other_set)) >= greatest(length(set), length(other_set)) * "
+                        f"{similarity} - 1e-6"))
+    links = settle(_alike(held.select("doc_id", "other", "set", "other_set"), similarity).union(copies), "near_links")
+    groups = connected_components(links, "doc_id", "other")
+    gone = settle(groups.where("node != component").select(F.col("node").alias("doc_id")), "near_duplicates")
+    return docs.join(gone, "doc_id", "left_anti")
