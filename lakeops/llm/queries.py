@@ -17,6 +17,7 @@ from lakeops.llm.packing import pack_documents
 from lakeops.llm.quality_rules import apply_rules
 from lakeops.llm.sharding import shard
 from lakeops.llm.simhash import near_duplicates
+from lakeops.llm.suffix_dedup import remove_repeats
 from lakeops.llm.url_filters import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +134,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
