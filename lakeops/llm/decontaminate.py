@@ -35,6 +35,7 @@ WINDOW = 10
 GRAM = 5
 #: Text of the benchmark that is held in memory at once.
 BLOCK_BYTES = 32 << 20
+OUTPUT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 _KEPT = set((string.ascii_letters + string.digits).encode()) | set(range(0x80, 0x100))
 _TABLE = bytes(c if c in _KEPT else 0x20 for c in range(256)).lower()
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -183,7 +184,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     ``keep`` names other columns of ``docs`` to pass on, ``text`` among them if wanted.
     """
     spark = docs.sparkSession
-    passed = [c for c in keep or [] if c != "doc_id"]
+    passed = [c for c in keep or [] if c not in ("doc_id", *OUTPUT)]
     state = docs.select("doc_id", *passed, *([] if "text" in passed else ["text"]),
                         F.lit(None).cast("binary").alias("_hits"), F.array().cast("array<string>").alias("_items"))
     count, blocks = _blocks(benchmark, block_bytes)

@@ -85,7 +85,18 @@ def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None
 
 
 def pack_evenly(sizes: list[int], shards: int) -> list[int]:
-    """The shard of each item (sizes in falling order) at about the smallest capacity that suffices."""
+    """The shard of each item (sizes in falling order) at about the smallest capacity that suffices.
+
+    An item of a fair part or more fills a shard alone; the others share the remaining shards.
+    """
+    total, alone = sum(sizes), 0
+    while alone < min(len(sizes), shards - 1) and sizes[alone] * (shards - alone) >= total:
+        total -= sizes[alone]
+        alone += 1
+    return [*range(alone), *(alone + home for home in _pack(sizes[alone:], shards - alone))]
+
+
+def _pack(sizes: list[int], shards: int) -> list[int]:
     if not sizes:
         return []
     low = max(sizes[0], -(-sum(sizes) // shards))
