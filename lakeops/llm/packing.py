@@ -17,6 +17,7 @@ Null and empty texts are one closing token. Repeated rows of one doc_id are pack
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
 from itertools import combinations
@@ -33,43 +34,67 @@ CAPACITY = 4096
 CLOSING = 1
 #: Nodes of the search; steps that one node may take to enumerate fillings; fillings that it tries.
 NODES, STEPS, WIDTH = 6_000, 400, 4
-_KNOWN_LIMIT = 300_000
+_KNOWN_LIMIT = 500_000
 
 #: (length, how many of them) of one sequence, and how many sequences look so.
 Pattern = tuple[tuple[tuple[int, int], ...], int]
 
 
-@cache
-def _tokenizer(path: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+#: Characters that the tokenizer neither recomposes nor joins in contractions: ASCII marks but the
+#: apostrophe, and the letters of Latin-1.
+_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+_RUNS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+").findall
+#: The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from 256 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SHIFTED = dict(zip((b for b in range(256) if b not in _SHOWN), map(chr, range(256, 512))))
 
 
 class WordIds(dict):
     """The ids, as little-endian bytes, of each word. Words are what stands between blanks and line
-    ends, which this tokenizer drops and never joins across; the memory is cleared when it is full."""
+    ends, which this tokenizer drops and never joins across. Plain words go straight to its merges,
+    run by run; all others through the whole of it. The memory is cleared when it is full."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        self.encode = _tokenizer(path).encode
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.merge, self.runs = tokenizer.encode, tokenizer.model.tokenize, {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) > _KNOWN_LIMIT:
             self.clear()
-        ids = self[word] = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            self.runs.clear()
+        if _PLAIN(word) and "<|" not in word:
+            ids = b"".join(map(self.of_run, _RUNS(word.lower())))
+        else:
+            ids = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
+
+    def of_run(self, run: str) -> bytes:
+        ids = self.runs.get(run)
+        if ids is None:
+            shown = run if run.isascii() else run.encode().decode("latin-1").translate(_SHIFTED)
+            ids = self.runs[run] = np.array([t.id for t in self.merge(shown)], "<u4").tobytes()
         return ids
 
     def of_text(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@cache
+def word_ids(path: str) -> WordIds:
+    """One memory for all tasks of a worker."""
+    return WordIds(path)
+
+
 def tokenize(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length and the ids as little-endian uint32."""
     closing = np.array([CLOSING], "<u4").tobytes()
 
     def cut(batches):
-        known = WordIds(tokenizer)
+        known = word_ids(tokenizer)
         for batch in batches:
             for part in slices(batch):
                 rows: list[tuple] = []
