@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -15,6 +14,7 @@ from lakeops.session import materialise, ship_package
 
 #: Text handled at once inside a Python task; longer documents are handled alone.
 SLICE_BYTES = 4 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,16 +61,17 @@ def texts_as_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back; shuffles that only it needed may go.
+    """Write ``df`` to the shared folder and read it back; Spark then removes the shuffles that it took.
 
-    Spark removes the files of a shuffle when the driver has collected the plan that made it, which
-    may be long after; asking for it keeps the disk that a chain of steps holds near that of one.
+    The disk that a chain of steps needs stays near that of its largest step.
     """
-    written = materialise(df, label)
-    del df
-    gc.collect()
-    written.sparkSession._jvm.System.gc()
-    return written
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        return materialise(df, label)
+    finally:
+        conf.set(_CLEANUP, before)
 
 
 def task_number() -> int:
@@ -101,7 +102,7 @@ def with_rank(df: DataFrame, key: str, name: str, label: str) -> DataFrame:
                 [*batch.columns, pa.array([task] * batch.num_rows, pa.int64()), pa.array(local, pa.int64())],
                 names=[*names, "_task", "_local"])
 
-    placed = materialise(map_batches(df, out, count), label)
+    placed = settle(map_batches(df, out, count), label)
     before = Window.partitionBy("_key").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy(F.col(key).alias("_key"), F.col("_task").alias("_from"))
                      .agg(F.count(F.lit(1)).alias("_n"))

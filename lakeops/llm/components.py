@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.session import materialise
+from lakeops.llm.common import settle
 
 
 def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
@@ -19,25 +19,25 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     Loops and repeated edges do no harm; rows with a null end are no edges.
     """
     both = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a is not null and b is not null")
-    links = materialise(both.union(both.select(F.col("b"), F.col("a"))).distinct(), "links")
+    links = settle(both.union(both.select(F.col("b"), F.col("a"))).distinct(), "links")
     labels = links.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     while links.head(1):
-        pointers = materialise(
+        pointers = settle(
             links.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("to")), "pointers")
         while True:
             ends = pointers.select(F.col("node").alias("to"), F.col("to").alias("further"))
-            jumped = materialise(
+            jumped = settle(
                 pointers.join(ends, "to").select("node", F.col("further").alias("to"),
                                                  (F.col("further") != F.col("to")).alias("moved")), "pointers")
             pointers = jumped.drop("moved")
             if not jumped.where("moved").head(1):
                 break
-        labels = materialise(
+        labels = settle(
             labels.join(pointers.select(F.col("node").alias("component"), "to"), "component", "left")
                   .select("node", F.coalesce("to", "component").alias("component")), "labels")
         to_left = pointers.select(F.col("node").alias("a"), F.col("to").alias("a_to"))
         to_right = pointers.select(F.col("node").alias("b"), F.col("to").alias("b_to"))
-        links = materialise(
+        links = settle(
             links.join(to_left, "a").join(to_right, "b").where("a_to != b_to")
                  .select(F.col("a_to").alias("a"), F.col("b_to").alias("b")).distinct(), "links")
     return labels

@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import column, map_batches, settle, slices, texts_as_bytes
 from lakeops.llm.components import connected_components
-from lakeops.session import materialise
 
 BITS = 64
 SEED = 42
@@ -97,7 +96,7 @@ def link_fingerprints(distinct: DataFrame, radius: int) -> DataFrame:
         for t, m in enumerate(masks)])).alias("k")).select("fp", "k.t", "k.key")
     shared = (keys.groupBy("t", "key").agg(F.min("fp").alias("_low"), F.max("fp").alias("_high"))
                   .where("_low != _high").select("t", "key"))
-    members = materialise(keys.join(shared, ["t", "key"]).select("t", "fp"), "members")
+    members = settle(keys.join(shared, ["t", "key"]).select("t", "fp"), "members")
     few, more = radius // 2, radius - radius // 2
 
     def named(reach: int) -> DataFrame:
@@ -112,12 +111,12 @@ def link_fingerprints(distinct: DataFrame, radius: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable) of every row."""
-    prints = materialise(fingerprints(docs, shingle), "fingerprints")
-    first = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "first_ids")
-    groups = connected_components(materialise(link_fingerprints(first, radius), "edges"), "fp", "hub")
+    prints = settle(fingerprints(docs, shingle), "fingerprints")
+    first = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "first_ids")
+    groups = connected_components(settle(link_fingerprints(first, radius), "edges"), "fp", "hub")
     smallest = (groups.join(first, groups["node"] == first["fp"])
                       .groupBy("component").agg(F.min("first_id").alias("component_id")))
-    of_print = materialise(
+    of_print = settle(
         first.join(groups.join(smallest, "component").select(F.col("node").alias("fp"), "component_id"),
                    "fp", "left")
              .select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "components")
