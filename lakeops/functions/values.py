@@ -57,11 +57,24 @@ def point(column: Column) -> Column:
 
 
 def range_bounds(column: Column) -> Column:
-    """``[start, end)`` text to a struct; UNBOUNDED becomes null."""
+    """``[start, end)`` text to a struct of timestamps; UNBOUNDED becomes null, any other text is an
+    error. Bounds without a zone are UTC, and a date is the midnight that it begins with."""
+    wrong = F.raise_error(F.concat(F.lit("not a RANGE: "), column))
+
     def bound(group: int) -> Column:
-        text = F.regexp_extract(column, RANGE_TEXT, group)
-        return F.when(~F.upper(text).isin("UNBOUNDED", "NULL", ""), text)
-    return F.when(column.isNotNull(), F.struct(bound(1).alias("start"), bound(2).alias("end")))
+        text = F.replace(F.trim(F.regexp_extract(column, RANGE_TEXT, group)), F.lit("T"), F.lit(" "))
+        at = F.coalesce(*[F.try_to_timestamp(F.concat(text, F.lit(rest)), F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX"))
+                          for rest in ("", "Z", " 00:00:00Z")])
+        return F.when(~F.upper(text).isin("UNBOUNDED", "NULL", ""), F.coalesce(at, wrong.cast("timestamp")))
+    return (F.when(column.isNull(), F.lit(None))
+             .when(column.rlike(RANGE_TEXT), F.struct(bound(1).alias("start"), bound(2).alias("end")))
+             .otherwise(wrong.cast("struct<start:timestamp,end:timestamp>")))
+
+
+def json_value(column: Column) -> Column:
+    """The value of JSON text; null stays null, and text that is not JSON is a string value."""
+    as_text = F.variant_get(F.parse_json(F.to_json(F.array(column))), "$[0]", "variant")
+    return F.when(column.isNotNull(), F.coalesce(F.try_parse_json(column), as_text))
 
 
 def interval_text(column: Column, data_type: T.DataType) -> Column:
@@ -103,8 +116,7 @@ def normalise(df: DataFrame, json_as: str = "variant") -> DataFrame:
         if declared == "RANGE":
             return range_bounds(column)
         if declared == "JSON":
-            # text that is not JSON stays available as a JSON string value
-            value = F.coalesce(F.try_parse_json(column), F.parse_json(F.to_json(F.array(column))))
+            value = json_value(column)
             return value if json_as == "variant" else F.to_json(value)
         return column
     return _select(df, leaf)

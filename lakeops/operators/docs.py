@@ -21,10 +21,12 @@ def prepare_docs(new: DataFrame) -> DataFrame:
 
 def doc_set(docs: DataFrame, new: DataFrame) -> DataFrame:
     """The collection after full replacement by id. With several new documents of one id the
-    highest ``seq`` wins."""
+    highest ``seq`` wins; without ``seq`` that is an error."""
     prepared = prepare_docs(new)
     if "seq" in prepared.columns:
         prepared = prepared.groupBy("doc_id").agg(F.max_by("data", "seq").alias("data"))
+    elif prepared.groupBy("doc_id").count().where("count > 1").head(1):
+        raise ValueError("several new documents have one id; give their order in seq")
     prepared = prepared.select("doc_id", "data")
     return docs.select("doc_id", "data").join(prepared, "doc_id", "left_anti").unionByName(prepared)
 

@@ -68,15 +68,15 @@ def _spread(df: DataFrame, *columns: str) -> DataFrame:
 
 # ---------------------------------------------------------------- jobs
 
-def compose(parts: DataFrame, allow_empty: bool = False) -> DataFrame:
+def compose(parts: DataFrame, allow_empty: bool = False, max_parts: int | None = COMPOSE_PARTS) -> DataFrame:
     """Joins objects byte by byte, in ``position`` order, into each ``target``.
 
-    ``parts`` holds ``target, position, location``; more than 32 parts per target are
-    refused before anything is written. Returns ``target, parts, size``.
+    ``parts`` holds ``target, position, location``; more than ``max_parts`` parts of
+    a target are refused before anything is written. Returns ``target, parts, size``.
     """
     counts = parts.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
-    if counts.where(F.col("n") > COMPOSE_PARTS).head(1):
-        raise ValueError(f"at most {COMPOSE_PARTS} parts per composed object")
+    if max_parts is not None and counts.where(F.col("n") > max_parts).head(1):
+        raise ValueError(f"at most {max_parts} parts per composed object")
     if not allow_empty and not parts.head(1):
         raise NoObjectsError("no objects to compose")
 

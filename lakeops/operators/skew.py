@@ -18,21 +18,18 @@ def nest_groups(df: DataFrame, keys: list[str], items: list[str], order: list[st
                 name: str, max_items: int = 100_000) -> DataFrame:
     """One row per key with ``items`` nested in order, as ``name``.
 
-    A key with more than ``max_items`` entries comes back as several rows, told apart by
-    ``part``; each part is ordered in itself and no entry is dropped. Counts are gathered
-    first, which combines map-side; in the usual case no key is long, and the rows are then
-    shuffled once and joined with nothing.
+    A key with more than ``max_items`` entries comes back as several rows with consecutive
+    ``part`` numbers: joined in that order, the parts are the one list, whatever the bound.
+    Counts are gathered first, which combines map-side; in the usual case no key is long, and
+    the rows are then shuffled once and joined with nothing. Null keys are keys like others.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     long_keys = materialise(
-        counts.where(F.col("_n") > max_items).select(
-            *keys, F.ceil(F.col("_n") / max_items).cast("int").alias("_parts")), "long_keys")
+        counts.where(F.col("_n") > max_items).select(*[F.col(k).alias(f"_l_{k}") for k in keys]), "long_keys")
     if long_keys.head(1):
-        # the salt is written down with the rows, so a repeated task cannot deal them out
-        # differently; it also spreads entries that are copies of each other
-        salted = materialise(df.withColumn("_salt", F.monotonically_increasing_id()), "salted")
-        spread = F.pmod(F.xxhash64("_salt"), F.col("_parts")).cast("int")
-        rows = join_small(salted, long_keys, keys, "left").withColumn("part", F.coalesce(spread, F.lit(0)))
+        same = _same(df, long_keys, keys, "_l_")
+        rows = df.join(long_keys, same, "left_anti").withColumn("part", F.lit(0)).unionByName(
+            _consecutive_parts(df.join(long_keys, same, "left_semi"), keys, order, items, max_items))
     else:
         rows = df.withColumn("part", F.lit(0))
     entry = F.struct(*[F.col(c) for c in order + [i for i in items if i not in order]])
@@ -41,6 +38,27 @@ def nest_groups(df: DataFrame, keys: list[str], items: list[str], order: list[st
     return grouped.select(*keys, "part", shaped.alias(name))
 
 
+def _consecutive_parts(df: DataFrame, keys: list[str], order: list[str], items: list[str], size: int) -> DataFrame:
+    """Rows with the ``part`` that their place in their key's order falls into.
+
+    The rows are sorted over all tasks, copies told apart by a written-down salt, and written
+    with their place inside their task; one count per key and task gives the offsets.
+    """
+    salted = materialise(df.withColumn("_salt", F.monotonically_increasing_id()), "salted")
+    by = [F.col(c) for c in [*keys, *order, *[i for i in items if i not in order]]] + [F.xxhash64("_salt")]
+    placed = materialise(salted.repartitionByRange(*by).sortWithinPartitions(*by).drop("_salt")
+                               .withColumn("_id", F.monotonically_increasing_id()), "placed")
+    task, place = F.shiftright("_id", _ROW_BITS), F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    placed = placed.withColumn("_task", task).withColumn("_place", place)
+    before = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy(*keys, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+                     .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
+                     .select(*[F.col(c).alias(f"_o_{c}") for c in [*keys, "_task"]], "_offset"))
+    return (placed.join(offsets, _same(placed, offsets, [*keys, "_task"], "_o_"))
+                  .withColumn("part", F.floor((F.col("_offset") + F.col("_place")) / size).cast("int"))
+                  .select(*df.columns, "part"))
+
+
 def join_small(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner",
                max_rows: int = 100_000) -> DataFrame:
     """Join a side that is written down and usually small: broadcast up to ``max_rows`` rows,

@@ -92,22 +92,25 @@ def run_sql(spark: SparkSession, sql: str, fetch_type: str = "FETCH", *, params:
     """
     if fetch_type not in FETCH_TYPES:
         raise ValueError(f"fetch type is one of {FETCH_TYPES}")
-    session = spark
-    if default_dataset:
-        # a sibling session keeps the caller's current database as it is
-        session = spark.newSession()
-        session.catalog.setCurrentDatabase(default_dataset)
     text = as_script(named_parameters(sql) if params else sql)
-    rows = session.sql(text, args=bind_parameters(params)) if params else session.sql(text)
+    before = spark.catalog.currentDatabase()
+    if default_dataset:
+        spark.catalog.setCurrentDatabase(default_dataset)
+    try:
+        # names are resolved here, so the caller's own database can come back at once
+        rows = spark.sql(text, args=bind_parameters(params)) if params else spark.sql(text)
+    finally:
+        if default_dataset:
+            spark.catalog.setCurrentDatabase(before)
     if destination:
         from lakeops.operators.tables import write_table
         write_table(rows, destination, write=write, create=create)
-        rows = session.table(destination)
+        rows = spark.table(destination)
     if fetch_type == "STORE":
         return store(rows)
     if fetch_type == "FETCH_ONE":
-        one = rows.limit(1)
-        return QueryResult(one, known_size=len(one.head(1)))
+        first = rows.head(1)
+        return QueryResult(spark.createDataFrame(first, rows.schema), known_size=len(first))
     if fetch_type == "NONE" and not destination and rows.columns:
         rows.write.format("noop").mode("overwrite").save()
     return QueryResult(rows)

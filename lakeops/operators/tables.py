@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.schema import relaxed, to_struct_type
 from lakeops.operators.partitions import PARTITION, drop_partitions, list_partitions
 from lakeops.operators.skew import rank_evenly
+from lakeops.session import materialise
 
 # Write and create dispositions, and allowed schema updates.
 WRITES = ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY")
@@ -56,6 +57,12 @@ def write_table(df: DataFrame, name: str, *, write: str = "WRITE_APPEND",
         raise ValueError(f"{name} already holds rows")
     if exists:
         df = _fit_schema(spark, df, name, schema_update)
+        declared = table_property(spark, name, CLUSTERING)
+        cluster_by = list(cluster_by) or (declared.split(",") if declared else [])
+        partitioned = partitioned or PARTITION in spark.table(name).columns
+    if exists and write == "WRITE_TRUNCATE":
+        # written down first: a failing row leaves the table as it was, and rows may come from it
+        df = materialise(df, "truncate")
     if cluster_by:
         keys = [PARTITION, *cluster_by] if partitioned else list(cluster_by)
         df = rank_evenly(df, keys)
@@ -86,7 +93,10 @@ def _fit_schema(spark: SparkSession, df: DataFrame, name: str, schema_update) ->
     for f in absent:
         df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
     if required and "ALLOW_FIELD_RELAXATION" in schema_update:
-        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{REQUIRED}')")
+        missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in sorted(required & set(df.columns))]).first()
+        left = sorted(c for c in required if not missing[c])
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{REQUIRED}' = '{','.join(left)}')" if left
+                  else f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{REQUIRED}')")
     elif required:
         for column in sorted(required & set(df.columns)):
             df = df.withColumn(column, F.when(F.col(column).isNotNull(), F.col(column)).otherwise(
@@ -118,7 +128,7 @@ def create_table(spark: SparkSession, name: str, definition: dict) -> None:
 
 
 def table_metadata(spark: SparkSession, name: str, if_missing: str = "ERROR") -> DataFrame | None:
-    """Kind, rows, bytes, partitioning, clustering and column list of a table, as one row."""
+    """Kind, rows, bytes, partitioning, clustering, labels, expiry and columns of a table, as one row."""
     if not spark.catalog.tableExists(name):
         if if_missing == "SKIP":
             return None
@@ -133,11 +143,17 @@ def table_metadata(spark: SparkSession, name: str, if_missing: str = "ERROR") ->
         size = int(figures[0]) if figures else None
         rows = int(figures[figures.index("rows") - 1]) if "rows" in figures else None
     columns = spark.table(name).dtypes
+    properties = ({} if described.get("Type") == "VIEW" else
+                  {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()})
     return spark.createDataFrame(
         [(name, described.get("Type"), rows, size, PARTITION in dict(columns),
-          [f"{c} {t}" for c, t in columns], described.get("Comment"), described.get("Created Time"))],
+          [f"{c} {t}" for c, t in columns], described.get("Comment"), described.get("Created Time"),
+          properties[CLUSTERING].split(",") if properties.get(CLUSTERING) else [],
+          {k[6:]: v for k, v in properties.items() if k.startswith("label.")},
+          int(properties[EXPIRES]) if properties.get(EXPIRES) else None)],
         "name string, kind string, num_rows bigint, num_bytes bigint, partitioned boolean, "
-        "columns array<string>, description string, created string")
+        "columns array<string>, description string, created string, clustering array<string>, "
+        "labels map<string,string>, expires_ms bigint")
 
 
 def copy_tables(spark: SparkSession, sources: list[str], target: str, *,

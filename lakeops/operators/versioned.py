@@ -9,8 +9,9 @@ fails with VersionConflict.
 
 from __future__ import annotations
 
+import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import or_
 from urllib.parse import unquote
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from lakeops.operators.skew import rank_evenly
-from lakeops.session import list_names, path_exists, put_json_if_absent, read_json
+from lakeops.session import list_names, materialise, path_exists, put_json_if_absent, read_json
 
 WHOLE = ""
 
@@ -181,7 +182,7 @@ class VersionedTable:
             folders[partition] = folders.get(partition, []) + new
         version = base["version"] + 1
         put_json_if_absent(self.spark, self._file(version), {
-            **base, "version": version, "folders": folders,
+            **base, "version": version, "folders": folders, "committed_ms": int(time.time() * 1000),
             "transactions": {**base.get("transactions", {}), **(transactions or {})}})
         return version
 
@@ -247,6 +248,9 @@ class VersionedTable:
             raise ValueError("no operations")
         base = self.head()
         schema = T.StructType.fromJson(base["schema"])
+        # sources and new rows are read several times below, so each is written down once
+        operations = [replace(o, source=materialise(o.source, "merge")) if isinstance(o, Merge) else
+                      replace(o, rows=materialise(o.rows, "insert")) if isinstance(o, Insert) else o for o in operations]
         marks = [f"_hit{n}" for n in range(len(operations))]
 
         def fold(paths: list[str]) -> DataFrame:
@@ -266,10 +270,14 @@ class VersionedTable:
             return counts
         touched = sorted(r["_from"] for r in per_file if r["_old"])
         kept, paths = self._without(base, touched)
-        if any(isinstance(o, Merge) for o in operations):
-            # unmatched source rows are decided against the whole table
-            rewritten = changed.where(~F.col("_old") | F.col("_from").isin(touched))
+        if any(isinstance(o, Merge) and not (o.update or o.delete_matched) for o in operations):
+            # files with matches stay as they are, so unmatched rows are decided against the whole table
+            names = materialise(self.spark.createDataFrame([(t,) for t in touched], "_touched string"), "touched")
+            hit = F.col("_from") == F.col("_touched")
+            rewritten = changed.where(~F.col("_old")).unionByName(
+                changed.where("_old").join(names, hit, "left_semi"))
         else:
+            # every match is in a touched file, so those files decide alone
             rewritten = fold(paths)
         self._publish(base, self.stage(rewritten.where(~F.col("_gone")), base), kept)
         return counts

@@ -105,7 +105,7 @@ class MaterializedView:
                 mode = "incremental"
                 # names of the files added since the last refresh: metadata, not rows
                 paths = [r["path"] for r in fresh.select("path").collect()]
-                rows = reader.schema(rows.schema).parquet(*paths)
+                rows = reader.schema(rows.schema).option("basePath", self.base).parquet(*paths)
         groups = self._aggregate(rows)
         if mode == "incremental":
             merged = groups.unionByName(self.spark.read.parquet(state["groups"]))

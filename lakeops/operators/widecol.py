@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.versioned import Delete, VersionedTable
+from lakeops.operators.versioned import Delete, Insert, Merge, VersionedTable
+from lakeops.session import materialise
 
 _COLUMN = ["row_key", "family", "qualifier"]
 
@@ -24,6 +25,15 @@ def mutation_cells(mutations: DataFrame, default_family: str | None, now_micros:
     return sets, deletes
 
 
+def _written_cells(sets: DataFrame, deletes: DataFrame) -> DataFrame:
+    """The cells that a bulk write leaves of its own."""
+    last = (sets.groupBy(*_COLUMN, "timestamp")
+                .agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq")))
+    return (last.join(deletes, _COLUMN, "left")
+                .where(F.col("_deleted_at").isNull() | (F.col("seq") > F.col("_deleted_at")))
+                .select(*_COLUMN, "value", "timestamp"))
+
+
 def apply_mutations(cells: DataFrame, mutations: DataFrame, default_family: str | None = None,
                     now_micros: int = 0) -> DataFrame:
     """The cells after one bulk write.
@@ -32,11 +42,7 @@ def apply_mutations(cells: DataFrame, mutations: DataFrame, default_family: str
     deleted cell again. A set with an existing timestamp replaces that version.
     """
     sets, deletes = mutation_cells(mutations, default_family, now_micros)
-    last = (sets.groupBy(*_COLUMN, "timestamp")
-                .agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq")))
-    written = (last.join(deletes, _COLUMN, "left")
-                   .where(F.col("_deleted_at").isNull() | (F.col("seq") > F.col("_deleted_at")))
-                   .select(*_COLUMN, "value", "timestamp"))
+    written = _written_cells(sets, deletes)
     kept = (cells.join(deletes, _COLUMN, "left_anti")
                  .join(written, [*_COLUMN, "timestamp"], "left_anti"))
     return kept.select(*_COLUMN, "value", "timestamp").unionByName(written)
@@ -44,15 +50,15 @@ def apply_mutations(cells: DataFrame, mutations: DataFrame, default_family: str
 
 def write_cells(table: VersionedTable, mutations: DataFrame, default_family: str | None = None,
                 now_micros: int = 0) -> int:
-    """Publish a bulk write; returns the number of row entries.
-
-    A batch without deletes only appends cells, so nothing old is rewritten.
-    """
-    _, deletes = mutation_cells(mutations, default_family, now_micros)
-    if deletes.head(1):
-        table.replace(apply_mutations(table.read(), mutations, default_family, now_micros))
-    else:
-        table.append(apply_mutations(table.read().limit(0), mutations, default_family, now_micros))
+    """Publish a bulk write, with the meaning of ``apply_mutations``; returns the number of row
+    entries. Only files that hold a deleted or replaced cell are written again."""
+    mutations = materialise(mutations, "mutations")
+    sets, deletes = mutation_cells(mutations, default_family, now_micros)
+    written = materialise(_written_cells(sets, deletes), "written")
+    gone = {"delete_matched": True, "insert_unmatched": False}
+    table.execute_batch([
+        Merge(deletes.select(*_COLUMN), _COLUMN, **gone),
+        Merge(written.select(*_COLUMN, "timestamp"), [*_COLUMN, "timestamp"], **gone), Insert(written)])
     return mutations.count()
 
 

@@ -261,7 +261,7 @@ def objects_matching_regexp(spark: SparkSession, sf_dir: str) -> DataFrame:
   with o as ({OBJECTS_SQL}) select name, generation from o order by name, generation limit 25""")
 def objects_all_versions_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = objects_of(table(spark, sf_dir, "pages"))
-    return objects.list_objects(listing, listing_type="RECURSIVE", all_versions=True).select("name", "generation")
+    return objects.list_objects(listing, listing_type="RECURSIVE", all_versions=True, max_files=25).select("name", "generation")
 
 
 # ---------------------------------------------------------------- wide-column scans

@@ -80,20 +80,33 @@ def checksum_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", checksum.md5(F.col("text")).alias("md5"))
 
 
-@query("checksum_crc32c")
+#: The CRC of each of the 256 bytes, worked out from the polynomial, and the register run over a text's bytes.
+CRC32C_SQL = """
+  with steps as (
+    select list_reduce(list_prepend(b::bigint, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 2197175160) else c >> 1 end) as c, b
+    from range(256) t(b)),
+  k as (select list(c order by b) as k from steps)
+  select doc_id, to_base64(unhex(printf('%08x', xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(1, octet_length(encode(text)) + 1),
+                 lambda i: ('0x' || substr(hex(encode(text)), 2 * i - 1, 2))::bigint)),
+    lambda c, b: xor(k[(xor(c, b) & 255) + 1], c >> 8)))))) as crc32c
+  from documents, k"""
+
+
+@query("checksum_crc32c", CRC32C_SQL)
 def checksum_crc32c(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", checksum.crc32c(F.col("text")).alias("crc32c"))
 
 
 @query("checksum_mismatches", """
-  select page_id, 'checksum' as reason from pages where html like '%<table%'""")
+  select page_id, 'checksum' as reason from pages where page_id % 3 = 0 and html like '%<p>%'""")
 def checksum_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with a table are damaged in the copy: one character of equal length changes."""
+    """Every third page is damaged in the copy: characters change, the length does not."""
     pages = table(spark, sf_dir, "pages")
     sums = lambda text: (F.octet_length(text).cast("bigint").alias("size"),
                          checksum.crc32c(text).alias("crc32c"), checksum.md5(text).alias("md5"))
-    damaged = F.when(F.contains("html", F.lit("<table")),
-                     F.replace(F.col("html"), F.lit("<table"), F.lit("<tabel"))).otherwise(F.col("html"))
+    damaged = F.when(F.col("page_id") % 3 == 0,
+                     F.replace(F.col("html"), F.lit("<p>"), F.lit("<q>"))).otherwise(F.col("html"))
     expected = pages.select("page_id", *sums(F.col("html")))
     return jobs.mismatches(pages.select("page_id", *sums(damaged)), expected, "page_id")
 

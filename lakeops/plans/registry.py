@@ -16,10 +16,15 @@ ORACLES: dict[str, str] = {}
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def keep(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # the tables hold zone-free times; UTC keeps casts between the two kinds exact
+            # the tables hold zone-free times; UTC keeps casts between the two kinds exact. Casts keep
+            # the zone that they were resolved with, so the caller's own comes back afterwards.
+            zone = spark.conf.get("spark.sql.session.timeZone")
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            ship_package(spark)
-            return function(spark, sf_dir)
+            try:
+                ship_package(spark)
+                return function(spark, sf_dir)
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", zone)
         run.__name__ = name
         QUERIES[name] = run
         if oracle:

@@ -84,12 +84,15 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def list_names(spark: SparkSession, path: str, dirs_only: bool = False) -> list[str]:
-    """Names directly below ``path`` without hidden ones; empty if it does not exist."""
+    """Names directly below ``path`` without hidden ones; empty if it does not exist.
+
+    A folder of a partition value, ``_column=value``, is not hidden.
+    """
     jpath, fs = _hadoop(spark, path)
     if not fs.exists(jpath):
         return []
     found = [(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(jpath)]
-    return sorted(n for n, d in found if n[0] not in "._" and (d or not dirs_only))
+    return sorted(n for n, d in found if (n[0] not in "._" or d and "=" in n) and (d or not dirs_only))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -114,8 +114,11 @@ def read_csv_flagged(spark: SparkSession, paths: list[str], schema: T.StructType
     unparsed = reduce(or_, [
         token[i].isNotNull() & (token[i] != "") & F.col(f"`{f.name}`").isNull()
         for i, f in enumerate(data.fields)])
-    short = token[width - 1].isNull()
-    long = token[width].isNotNull()
+    # empty last tokens come back null too, so fields are counted by the delimiters outside of quotes
+    mark = re.escape(options.quote)
+    bare = F.regexp_replace(RAW, f"{mark}(?:[^{mark}]|{mark}{mark})*{mark}", "") if options.quote else F.col(RAW)
+    delimiters = (F.length(bare) - F.length(F.replace(bare, F.lit(options.delimiter), F.lit("")))) / len(options.delimiter)
+    short, long = delimiters < width - 1, delimiters > width - 1
     marks = F.length(RAW) - F.length(F.replace(F.col(RAW), F.lit(options.quote), F.lit("")))
     refused = unparsed | ~(short | long) | (marks % 2 == 1)
     if not options.allow_jagged_rows:
@@ -127,7 +130,7 @@ def read_csv_flagged(spark: SparkSession, paths: list[str], schema: T.StructType
 
 
 def _without_leading_rows(rows: DataFrame, skip: int) -> DataFrame:
-    """Drop the first ``skip`` records of every file.
+    """Drop the first ``skip`` records of every file; blank lines are no records and do not count.
 
     Records are staged once with their place in the reading task. Leading records can only
     sit in the split that starts at byte 0, so the smallest place there is the file's start.

@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from lakeops.session import locate, materialise, qualified, ship_package
 
-# Listing modes, filters and the default cap.
+# Listing modes and filters.
 LISTING_TYPES = ("DIRECTORY", "RECURSIVE")
 FILTERS = ("FILES", "DIRECTORY", "BOTH")
-DEFAULT_MAX_FILES = 25
 
 
 def object_uri(bucket: Column, name: Column) -> Column:
@@ -63,7 +62,7 @@ def scan_folder(spark: SparkSession, path: str, bucket: str = "") -> DataFrame:
 
 def list_objects(objects: DataFrame, prefix: str = "", listing_type: str = "DIRECTORY",
                  keep: str = "BOTH", regexp: str | None = None,
-                 max_files: int | None = DEFAULT_MAX_FILES, all_versions: bool = False) -> DataFrame:
+                 max_files: int | None = None, all_versions: bool = False) -> DataFrame:
     """Names below ``prefix`` in one bucket.
 
     DIRECTORY keeps immediate children and folds deeper names into one entry per

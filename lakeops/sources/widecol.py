@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.skew import nest_groups
 
-# The fields of a cell, and the row cap of FETCH without a limit.
+# The fields of a cell.
 CELL = ["family", "qualifier", "value", "timestamp"]
-FETCH_CAP = 5000
 
 
 def key_filter(cells: DataFrame, prefix: str | None = None, start: str | None = None,
@@ -32,14 +31,12 @@ def read_cells(cells: DataFrame, prefix: str | None = None, start: str | None =
                end: str | None = None, family: str | None = None,
                limit: int | None = None, mode: str = "STORE") -> DataFrame:
     """Matching cells. A family filter also drops rows left without cells; the limit counts
-    rows in key order (FETCH caps at 5000 rows when none is given)."""
+    rows in key order, and without one all rows come back."""
     found = key_filter(cells, prefix, start, end)
     if family is not None:
         found = found.where(F.col("family") == family)
     if mode == "FETCH_ONE":
         limit = 1
-    elif mode == "FETCH" and limit is None:
-        limit = FETCH_CAP
     if limit is None:
         return found
     first_keys = found.select("row_key").distinct().orderBy("row_key").limit(limit)
@@ -47,7 +44,8 @@ def read_cells(cells: DataFrame, prefix: str | None = None, start: str | None =
 
 
 def read_rows(cells: DataFrame, max_cells: int = 100_000, **selection) -> DataFrame:
-    """``row_key`` with its nested cells; a row longer than ``max_cells`` comes in parts."""
+    """``row_key`` with its nested cells; a row longer than ``max_cells`` comes in
+    consecutive ``part`` s."""
     return nest_groups(read_cells(cells, **selection), ["row_key"], CELL,
                        ["family", "qualifier", "timestamp", "value"], "cells", max_cells)
 

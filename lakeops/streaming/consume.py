@@ -102,6 +102,7 @@ def consume_batch(messages: DataFrame, serde: str = "STRING", max_records: int |
         rows = spark.read.parquet(path)
         return Consumed(rows, rows.count(), path)
     taken = 0
+    places: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal taken
@@ -110,6 +111,7 @@ def consume_batch(messages: DataFrame, serde: str = "STRING", max_records: int |
             raise _Enough()
         place = f"{path}/batch={batch_id}"
         batch.write.mode("overwrite").parquet(place)
+        places.append(place)
         taken += spark.read.parquet(place).count()
 
     query = (decoded.writeStream.foreachBatch(write).trigger(availableNow=True)
@@ -122,7 +124,7 @@ def consume_batch(messages: DataFrame, serde: str = "STRING", max_records: int |
         finished = True
     if max_duration and not finished:
         query.stop()
-    rows = (spark.read.schema(decoded.schema).parquet(path).select(*decoded.columns) if taken
+    rows = (spark.read.schema(decoded.schema).parquet(*places) if taken
             else spark.createDataFrame([], decoded.schema))
     return Consumed(rows, taken, path)
 

@@ -12,9 +12,6 @@ from lakeops.operators.sql import run_sql
 from lakeops.sources.series import DEFAULT_WINDOW, query_series
 from lakeops.sources.widecol import key_filter
 
-# Fixed value: most rows of one poll.
-POLL_CAP = 1000
-
 
 def watch_sql(spark: SparkSession, sql: str, params: dict | None = None) -> DataFrame | None:
     """One poll: the rows, or None when there are none."""
@@ -37,8 +34,8 @@ def watch_stream(base: DataFrame, view: str, sql: str, emit: Callable[[DataFrame
 def watch_cells(cells: DataFrame, family: str | None = None, now_micros: int | None = None,
                 look_back_seconds: int | None = None, prefix: str | None = None,
                 start: str | None = None, end: str | None = None,
-                max_rows: int | None = POLL_CAP) -> DataFrame:
-    """One poll: cells of at most ``max_rows`` rows, newest window only.
+                max_rows: int | None = None) -> DataFrame:
+    """One poll: cells of the newest window; of the first ``max_rows`` rows only if a number is given.
 
     The time bound applies only together with a family, and both select cells.
     """

@@ -78,3 +78,16 @@ def test_equal_cluster_values_spread(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(sizes) > 4 and sum(r["count"] for r in sizes) == 20000
+
+
+def test_parts_joined_in_order_are_the_one_list(spark):
+    rows = spark.range(3_000).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "x").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"),
+        F.expr("cast(pmod(hash(id), 50) as int)").alias("v"))
+    whole = {r["k"]: [i["v"] for i in r["vs"]] for r in nest_groups(rows, ["k"], ["v"], ["v"], "vs").collect()}
+    parts = nest_groups(rows, ["k"], ["v"], ["v"], "vs", max_items=100).collect()
+    joined = {}
+    for r in sorted(parts, key=lambda r: r["part"]):
+        assert len(r["vs"]) <= 100
+        joined.setdefault(r["k"], []).extend(i["v"] for i in r["vs"])
+    assert joined == whole and sum(r["k"] is None for r in parts) == 10

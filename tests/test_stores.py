@@ -5,9 +5,11 @@ from lakeops.operators import docs as doc_ops
 from lakeops.operators import text
 from lakeops.operators.versioned import VersionedTable
 from lakeops.operators.widecol import apply_mutations, delete_rows, remaining_cells, write_cells
+from lakeops.operators.docs import doc_set
 from lakeops.sources import docs, widecol
 from lakeops.sources.objects import list_objects, scan_folder
 from lakeops.sources.series import query_series
+from lakeops.sources.widecol import read_cells
 from lakeops.streaming.watch import push_points, watch_cells
 
 CELLS = "row_key string, family string, qualifier string, value string, timestamp bigint"
@@ -126,3 +128,41 @@ def test_text_sessions(spark):
     assert sorted(r["turn"] for r in text.trim_history(turns, 2).collect()) == [1, 2]
     row = text.usage(turns, ["conv_id"]).first()
     assert (row["prompt_tokens"], row["candidate_tokens"], row["total_tokens"], row["serialized_bytes"]) == (3, 1, 4, 14)
+
+
+def test_no_cap_unless_it_is_given(spark):
+    cells = spark.range(6_000).selectExpr("concat('r', lpad(id, 5, '0')) as row_key", "'f' as family", "'q' as qualifier",
+                                          "cast(id as string) as value", "id as timestamp")
+    assert read_cells(cells, mode="FETCH").count() == watch_cells(cells, "f").count() == 6_000
+    assert read_cells(cells, mode="FETCH", limit=10).count() == watch_cells(cells, "f", max_rows=10).count() == 10
+    objects = cells.selectExpr("'b' as bucket", "row_key as name", "1L as size", "1L as generation")
+    assert list_objects(objects).count() == 6_000 and list_objects(objects, max_files=3).count() == 3
+
+
+def test_cell_writes_do_not_depend_on_other_entries(spark, folder):
+    cells = spark.range(3_000).selectExpr("concat('r', lpad(id, 5, '0')) as row_key", "'f' as family", "'q' as qualifier",
+                                          "'old' as value", "5L as timestamp")
+    entry = "row_key string, family string, cells map<string,string>, delete_cells array<string>, seq int"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for name, extra in (("a", []), ("b", [("r02000", "f", {}, ["q"], 1)])):
+        target = VersionedTable.create(spark, f"{folder}/{name}", cells.repartitionByRange(6, "row_key"), sort_by=["row_key"])
+        before = set(target.read().inputFiles())
+        entries = spark.createDataFrame([("r00007", "f", {"q": "new"}, [], 0)] + extra, entry)
+        assert write_cells(target, entries, None, 5) == len(entries.collect())
+        got = target.read()
+        assert [r["value"] for r in got.where("row_key = 'r00007'").collect()] == ["new"]
+        assert got.count() == 3_000 - len(extra)
+        gone = before - set(got.inputFiles())
+        assert len(gone) <= 1 + len(extra) and len(before) > 1
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_partition_column_with_a_leading_underscore_reads_back(spark, folder):
+    rows = spark.range(4).selectExpr("id", "cast(id % 2 as string) as _p")
+    assert VersionedTable.create(spark, f"{folder}/t", rows, partition_by="_p").read().count() == 4
+
+
+def test_new_documents_of_one_id_need_an_order(spark):
+    docs = spark.createDataFrame([("1", "{}")], "doc_id string, data string")
+    with pytest.raises(ValueError, match="one id"):
+        doc_set(docs, spark.createDataFrame([("2", "{}"), ("2", "[]")], "doc_id string, data string"))

@@ -98,11 +98,35 @@ def test_write_modes(spark, folder, topic, mode, versions):
     target = VersionedTable.create(spark, f"{folder}/sink", spark.read.parquet(topic).select("message_id", "seq").limit(0))
     done = stream_write(stream, target, "w", mode, f"{folder}/c1")
     assert done.rows == 8 and target.read().count() == 8 and len(target.versions()) == versions
-    # a lost checkpoint delivers everything again
-    again = stream_write(stream, target, "w", mode, f"{folder}/c2")
-    assert again.rows == (8 if mode == "DEFAULT" else 0)
+    assert done.version == target.versions()[-1] and done.committed_ms > 0
+    # the same checkpoint has nothing new
+    assert stream_write(stream, target, "w", mode, f"{folder}/c1").rows == 0
+    # another writer's rows are not counted, nor mixed up
+    other = stream_write(stream, target, "w2", mode, f"{folder}/c3")
+    assert other.rows == 8 and target.read().count() == 16
+    # a lost checkpoint delivers everything again, which only at-least-once may do unasked
+    if mode != "DEFAULT":
+        with pytest.raises(ValueError, match="another checkpoint"):
+            stream_write(stream, target, "w", mode, f"{folder}/c2")
+        with pytest.raises(ValueError, match="needs a checkpoint"):
+            stream_write(stream, target, "w", mode)
+    assert stream_write(stream, target, "w", mode, f"{folder}/c2", replay=True).rows == 8
+    assert target.read().count() == 24
     with pytest.raises(ValueError):
-        stream_write(stream, VersionedTable(spark, f"{folder}/none"), "w", mode)
+        stream_write(stream, VersionedTable(spark, f"{folder}/none"), "w", mode, f"{folder}/c4")
+
+
+@pytest.mark.parametrize("mode", ["DEFAULT", "COMMITTED", "PENDING"])
+def test_a_second_call_keeps_what_the_first_one_wrote(spark, folder, topic, mode):
+    rows = spark.read.parquet(topic).select("message_id", "seq")
+    target = VersionedTable.create(spark, f"{folder}/sink", rows.limit(0))
+    stream_write(source(spark, topic, 2).select("message_id", "seq"), target, "w", mode, f"{folder}/c1")
+    first = target.versions()[-1]
+    spark.range(100, 103).selectExpr("cast(id as string) as message_id", "id as seq").write.parquet(f"{folder}/more")
+    done = stream_write(source(spark, f"{folder}/more", 1), target, "w", mode, f"{folder}/c2", replay=True)
+    assert done.rows == 3
+    assert sorted(r["seq"] for r in target.read().collect()) == [*range(8), 100, 101, 102]
+    assert sorted(r["seq"] for r in target.read(first).collect()) == list(range(8))
 
 
 def test_pending_rows_stay_invisible_until_the_commit(spark, folder, topic):

@@ -8,7 +8,7 @@ from lakeops.functions import partition_ids
 from lakeops.functions.checksum import combine, crc32c, crc32c_many, md5, to_base64, _byte_table
 from lakeops.functions.labels import clean_label, readable_size
 from lakeops.functions.schema import missing_required, to_struct_type
-from lakeops.functions.values import encode_rows, normalise
+from lakeops.functions.values import encode_rows, normalise, range_bounds
 
 MATRIX = {"fields": [
     {"name": "string", "type": "STRING"}, {"name": "nullable", "type": "INT64"},
@@ -53,7 +53,7 @@ def test_normalised_matrix(matrix):
     assert row["geopoint"] == [-50.6833, 2.9]
     assert row["bignumeric"] == decimal.Decimal("1.25")
     assert row["struct"].asDict() == {"v": None, "x": 4, "z": [1, 2, 3]}
-    assert row["range"].asDict() == {"start": "2022-12-01", "end": "2022-12-31"}
+    assert row["range"].asDict() == {"start": dt.datetime(2022, 12, 1), "end": dt.datetime(2022, 12, 31)}
     assert row["json"] == '{"age":30,"name":"Alice"}'
     assert row["nullable"] is None and row["date"] == dt.date(2008, 12, 25)
 
@@ -126,3 +126,21 @@ def test_range_ids(spark):
     got = [r[0] for r in rows.select(partition_ids.range_id(F.col("x"), 0, 100, 10)).collect()]
     out = "__UNPARTITIONED__"
     assert got == [out, "0", "0", "10", "90", out, "__NULL__"]
+
+
+def test_json_cells_keep_null_and_plain_text(spark):
+    cells = spark.sql("select * from values (1, cast(null as string)), (2, 'not json'), (3, '[1, 2]'), (4, 'null') as t(id, text)").select(
+        "id", F.col("text").alias("text", metadata={"declared": "JSON"}))
+    got = {r["id"]: r["text"] for r in normalise(cells, json_as="string").collect()}
+    assert got == {1: None, 2: '"not json"', 3: "[1,2]", 4: "null"}
+
+
+def test_range_bounds_are_times_and_bad_text_is_an_error(spark):
+    def bounds(text):
+        return spark.createDataFrame([(text,)], "r string").select(range_bounds(F.col("r")).alias("r")).first()["r"]
+    assert tuple(bounds("[2022-12-01 10:30:00.5, UNBOUNDED)")) == (dt.datetime(2022, 12, 1, 10, 30, 0, 500_000), None)
+    assert tuple(bounds("[2022-12-01T10:30:00+01:00, 2022-12-02T00:00:00Z)")) == (dt.datetime(2022, 12, 1, 9, 30), dt.datetime(2022, 12, 2))
+    assert bounds(None) is None
+    for text in ("garbage", "[soon, later)"):
+        with pytest.raises(Exception, match="not a RANGE"):
+            bounds(text)
