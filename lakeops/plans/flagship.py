@@ -20,13 +20,13 @@ from lakeops.sources.load import load
 def partitioned_event_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, f"{sf_dir}/events.parquet", "parquet").rows
     database = fresh_database(spark, "flagship")
-    write_table(partition_by_time(events, "ts", "DAY"), f"{database}.events", partitioned=True)
-    week = select_partitions(list_partitions(spark, f"{database}.events"), "DAY",
+    write_table(partition_by_time(events, "ts", "DAY"), f"{database}.events_by_day", partitioned=True)
+    week = select_partitions(list_partitions(spark, f"{database}.events_by_day"), "DAY",
                              "2024-01-02T00:00:00", "2024-01-08T00:00:00")
     # partition ids are catalog metadata; as literals they prune the scan
     chosen = sorted(r[PARTITION] for r in week.collect())
     return run_sql(spark, """
         SELECT event_type, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS cents
-        FROM events WHERE partition_id IN UNNEST(@ids) GROUP BY event_type""",
+        FROM events_by_day WHERE partition_id IN UNNEST(@ids) GROUP BY event_type""",
         params={"ids": chosen}, default_dataset=database).rows.select(
             "event_type", "n", F.col("cents").cast("bigint"))
