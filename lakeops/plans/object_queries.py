@@ -85,12 +85,13 @@ CRC32C_SQL = """
   with steps as (
     select list_reduce(list_prepend(b::bigint, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 2197175160) else c >> 1 end) as c, b
     from range(256) t(b)),
-  k as (select list(c order by b) as k from steps)
+  k as (select list(c order by b) as k from steps),
+  d as materialized (select doc_id, hex(encode(text)) as h from documents)
   select doc_id, to_base64(unhex(printf('%08x', xor(4294967295, list_reduce(
-    list_prepend(4294967295::bigint, list_transform(range(1, octet_length(encode(text)) + 1),
-                 lambda i: ('0x' || substr(hex(encode(text)), 2 * i - 1, 2))::bigint)),
+    list_prepend(4294967295::bigint, list_transform(range(1, (length(h) // 2 + 1)::bigint),
+                 lambda i: ('0x' || substr(h, 2 * i - 1, 2))::bigint)),
     lambda c, b: xor(k[(xor(c, b) & 255) + 1], c >> 8)))))) as crc32c
-  from documents, k"""
+  from d, k"""
 
 
 @query("checksum_crc32c", CRC32C_SQL)

@@ -100,24 +100,50 @@ def sql_typed_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     and not exists (select 1 from nation where n_nationkey = s_nationkey and n_regionkey = 0)
   group by p_brand, s_name""")
 def sql_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    supplier, orders = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "orders")
-    nation = table(spark, sf_dir, "nation")
-    local = supplier.join(nation.where("n_regionkey = 0"), supplier.s_nationkey == nation.n_nationkey, "left_anti")
-    is_open = orders.where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return (line.join(is_open, "l_orderkey", "left_semi")
-                .join(local, line.l_suppkey == local.s_suppkey)
-                .join(part, line.l_partkey == part.p_partkey)
-                .groupBy("p_brand", "s_name")
-                .agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("bigint").alias("quantity")))
+    _views(spark, sf_dir, "lineitem", "part", "supplier", "orders", "nation")
+    return sql.run_sql(spark, """
+        SELECT p_brand, s_name, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS quantity
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+        WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'O')
+          AND NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = s_nationkey AND n_regionkey = 0)
+        GROUP BY p_brand, s_name""").rows
 
 
 @query("sql_rollup", """
   select o_orderstatus, o_orderpriority, count(*) as n from orders
   group by rollup (o_orderstatus, o_orderpriority)""")
 def sql_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").rollup("o_orderstatus", "o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"))
+    _views(spark, sf_dir, "orders")
+    return sql.run_sql(spark, """
+        SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders
+        GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""").rows
+
+
+@query("sql_grouping_sets", """
+  select o_orderstatus, o_orderpriority, year(o_orderdate) as y, count(*) as n,
+         cast(grouping(o_orderstatus) as int) as all_states from orders
+  group by grouping sets ((o_orderstatus, y), (o_orderpriority), ())""")
+def sql_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir, "orders")
+    return sql.run_sql(spark, """
+        WITH o AS (SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS BIGINT) AS y FROM orders)
+        SELECT o_orderstatus, o_orderpriority, y, count(*) AS n, CAST(grouping(o_orderstatus) AS INT) AS all_states
+        FROM o GROUP BY GROUPING SETS ((o_orderstatus, y), (o_orderpriority), ())""").rows
+
+
+@query("sql_as_of_join", """
+  with errors as (select * from events where event_type = 'error'),
+  others as (select user_id, ts as last_ts, max(event_id) as last_id from events where event_type <> 'error' group by all)
+  select e.event_id, o.last_ts, o.last_id from errors e asof left join others o on e.user_id = o.user_id and e.ts >= o.last_ts""")
+def sql_as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each error with the newest other event of its user: one sort by user and time, no range join."""
+    _views(spark, sf_dir, "events")
+    return sql.run_sql(spark, """
+        WITH placed AS (
+          SELECT event_id, event_type, max(CASE WHEN event_type <> 'error' THEN struct(ts, event_id) END) OVER (
+            PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS newest
+          FROM events)
+        SELECT event_id, newest.ts AS last_ts, newest.event_id AS last_id FROM placed WHERE event_type = 'error'""").rows
 
 
 @query("sql_window_top_per_group", """
@@ -125,9 +151,12 @@ def sql_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cast(row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as int) as place from orders)
   where place <= 3""")
 def sql_window_top_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    return (table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-            .withColumn("place", F.row_number().over(best)).where("place <= 3"))
+    _views(spark, sf_dir, "orders")
+    return sql.run_sql(spark, """
+        SELECT o_custkey, o_orderkey, o_totalprice, place FROM (
+          SELECT o_custkey, o_orderkey, o_totalprice,
+                 row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders)
+        WHERE place <= 3""").rows
 
 
 @query("sql_set_operations", """

@@ -80,3 +80,22 @@ def test_statistics_count_pruned_files(spark, folder):
     assert (row["rows"], row["partitions"], row["input_files"], row["dml_rows"], row["label"]) == (25, 1, 1, 3, "quarter")
     assert row["input_bytes"] > 0
     assert run_sql(spark, "SELECT 1 AS a").size == 1
+
+
+def test_destination_layout_views_and_database(spark):
+    database = fresh_database(spark, "layout")
+    spark.range(3).createOrReplaceTempView("kept_view")
+    before, zone = spark.catalog.currentDatabase(), spark.conf.get("spark.sql.session.timeZone")
+    rows = "SELECT id, timestamp'2024-01-01 10:00:00' + make_interval(0, 0, 0, cast(id AS INT)) AS at FROM kept_view"
+    out = run_sql(spark, rows, destination=f"{database}.t", partition_column="at", cluster_by=["id"], default_dataset=database)
+    assert out.size == 3 and {r["partition_id"] for r in out.rows.collect()} == {"20240101", "20240102", "20240103"}
+    more = run_sql(spark, rows.replace(" FROM", ", 1 AS extra FROM"), destination=f"{database}.t", write="WRITE_APPEND",
+                   partition_column="at", schema_update=["ALLOW_FIELD_ADDITION"])
+    assert more.rows.where("extra = 1").count() == 3 and more.rows.count() == 6
+    again = run_sql(spark, f"SELECT * FROM {database}.t WHERE id > 0", destination=f"{database}.t", write="WRITE_TRUNCATE")
+    assert again.rows.count() == 4
+    with pytest.raises(Exception):
+        run_sql(spark, f"SELECT id, at, extra, partition_id FROM {database}.t WHERE raise_error('no') = 1",
+                destination=f"{database}.t", write="WRITE_TRUNCATE")
+    assert spark.table(f"{database}.t").count() == 4
+    assert (before, zone) == (spark.catalog.currentDatabase(), spark.conf.get("spark.sql.session.timeZone"))
