@@ -106,7 +106,8 @@ def link_fingerprints(distinct: DataFrame, radius: int) -> DataFrame:
         return members.select("fp", F.explode(near).alias("value")).distinct()
 
     hubs = named(few).groupBy("value").agg(F.min("fp").alias("hub"))
-    return named(more).join(hubs, "value").where("fp != hub").select("fp", "hub").distinct()
+    # the files of ``members`` say nothing about the size of what is named, so no side may be broadcast by it
+    return named(more).hint("merge").join(hubs.hint("merge"), "value").where("fp != hub").select("fp", "hub").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
