@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,10 +40,9 @@ def map_batches(df: DataFrame, schema: str | T.StructType,
 
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``limit`` bytes of text, one row at least in each."""
-    lengths = batch.column(batch.schema.get_field_index(text)).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_pylist()
     start, held = 0, 0
-    for i, value in enumerate(lengths):
-        size = len(value) if value is not None else 0
+    for i, size in enumerate(lengths):
         if i > start and held + size > limit:
             yield batch.slice(start, i - start)
             start, held = i, 0

@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import column, map_batches, slices, texts_as_bytes, with_rank
+from lakeops.llm.common import column, map_batches, settle, slices, texts_as_bytes, with_rank
 
 CAPACITY = 4096
 #: The token that closes each document.
 CLOSING = 1
 #: Nodes of the search; steps that one node may take to enumerate fillings; fillings that it tries.
 NODES, STEPS, WIDTH = 6_000, 400, 4
-_KNOWN_LIMIT = 500_000
+_KNOWN_LIMIT = 250_000
 
 #: (length, how many of them) of one sequence, and how many sequences look so.
 Pattern = tuple[tuple[tuple[int, int], ...], int]
@@ -304,4 +304,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with the CRC-32 of their ids and their places."""
     pieces = tokenize(docs, tokenizer, capacity)
-    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)
+    # written down first: two Python functions in one stage would keep two workers, and their memory, for each task
+    pieces = settle(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    return pack(pieces, capacity)

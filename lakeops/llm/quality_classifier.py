@@ -31,7 +31,7 @@ MAX_TRAIN = 10_000
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.3, 0.1
 _RUN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
-_KNOWN_LIMIT = 500_000
+_KNOWN_LIMIT = 250_000
 _known: dict[bytes, int] = {}
 
 
