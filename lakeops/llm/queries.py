@@ -138,4 +138,4 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(documents(spark, sf_dir), with_text=False)
