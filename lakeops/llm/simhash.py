@@ -34,6 +34,8 @@ from lakeops.llm.components import connected_components
 
 BITS = 64
 SEED = 42
+#: Texts with a shingle among their first beyond which it is common, and comes last in the order of prefixes.
+COMMON = 64
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -184,6 +186,124 @@ def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
     return map_batches(pairs, f"doc_id {kind}, other {kind}", compare)
 
 
+def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs ``doc_id``, ``other`` of ``docs`` that are similar, judged on their whole sets of shingles."""
+    wanted = pairs.select("doc_id").union(pairs.select("other")).distinct()
+    sets = settle(_shingle_sets(docs.join(wanted, "doc_id", "left_semi"), shingle)
+                  .dropDuplicates(["doc_id"]), "shingle_sets")
+    held = (pairs.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("other"), F.col("set").alias("other_set")), "other")
+                 .where("least(length(set), length(other_set)) >= greatest(length(set), length(other_set)) * "
+                        f"{similarity} - 1e-6"))
+    return settle(_alike(held.select("doc_id", "other", "set", "other_set"), similarity), "near_links")
+
+
+def _exploded(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id and each distinct shingle hash of its text, as ``key``."""
+    def compute(batches):
+        for batch in batches:
+            for part in slices(batch):
+                sets = [np.unique(shingle_hashes(t.lower().split(), shingle)) for t in texts_as_bytes(part)]
+                rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [column(part, "doc_id").take(pa.array(rows)), pa.array(np.concatenate(sets).view(np.int64))],
+                    names=["doc_id", "key"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", "text"), f"doc_id {kind}, key bigint", compute)
+
+
+def prefix(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of the sorted distinct hashes, those in ``common`` last and in its order: one more than
+    a set may lose and still be similar, so two similar sets meet in their prefixes."""
+    ordered = np.concatenate([hashes[~np.isin(hashes, common)], common]) if len(common) else hashes
+    return ordered[:len(ordered) - int(np.ceil(similarity * len(ordered) - 1e-9)) + 1]
+
+
+def _prefix_keys(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, number of shingles, and place and hash of those in its prefix; ``common`` of ``docs`` may be null."""
+    def compute(batches):
+        none = np.empty(0, np.uint64)
+        for batch in batches:
+            for part in slices(batch):
+                rows, sizes, places, keys = [], [], [], [none]
+                for i, (text, common) in enumerate(zip(texts_as_bytes(part), column(part, "common"))):
+                    hashes = np.unique(shingle_hashes(text.lower().split(), shingle))
+                    last = common.values.to_numpy().view(np.uint64) if common.is_valid else none
+                    own = prefix(hashes, last, similarity)
+                    rows += [i] * len(own)
+                    sizes += [len(hashes)] * len(own)
+                    places += range(len(own))
+                    keys.append(own)
+                yield pa.RecordBatch.from_arrays(
+                    [column(part, "doc_id").take(pa.array(rows, pa.int64())), pa.array(sizes, pa.int32()),
+                     pa.array(places, pa.int32()), pa.array(np.concatenate(keys).view(np.int64))],
+                    names=["doc_id", "size", "place", "key"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", "text", "common"), f"doc_id {kind}, size int, place int, key bigint", compute)
+
+
+def _prefix_buckets(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, size, place and key of the shingles in prefixes that several documents have there.
+
+    One order of all shingles holds for every document, or similar ones would not meet: by hash, but
+    those that are common come last, by their number. Which are common is counted over the whole
+    texts of the documents in whose prefix a hash stands that is common there.
+    """
+    keys = settle(_prefix_keys(docs.withColumn("common", F.lit(None).cast("array<bigint>")), shingle, similarity), "prefix_keys")
+    often = settle(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON).select("key"), "often")
+    if often.head(1):
+        first = settle(keys.join(often, "key", "left_semi").select("doc_id").distinct(), "common_in")
+        common = settle(_exploded(docs.join(first, "doc_id", "left_semi"), shingle).groupBy("key")
+                        .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON), "common")
+        having = settle(keys.join(common, "key", "left_semi").select("doc_id").distinct(), "common_in")
+        shingles = settle(_exploded(docs.join(having, "doc_id", "left_semi"), shingle), "shingles")
+        lists = settle(
+            shingles.join(common, "key").groupBy("doc_id")
+                    .agg(F.sort_array(F.collect_set(F.struct("n", "key"))).alias("found"))
+                    .select("doc_id", F.transform("found", lambda x: x["key"]).alias("common")), "common_of")
+        again = _prefix_keys(docs.join(lists, "doc_id"), shingle, similarity)
+        keys = settle(keys.join(having, "doc_id", "left_anti").unionByName(again), "prefix_keys")
+    shared = (keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+                  .where("low != high").select("key"))
+    return settle(keys.join(settle(shared, "shared_keys"), "key", "left_semi"), "prefix_buckets")
+
+
+def _unlinked(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """The members, with their ``group``, of buckets that ``links`` do not connect."""
+    groups = connected_components(links, "doc_id", "other").select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
+    members = settle(buckets.join(groups, "doc_id", "left").withColumn("group", F.coalesce("group", "doc_id")), "members")
+    apart = members.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high")
+    return settle(members.join(settle(apart.select("key"), "apart"), "key", "left_semi"), "unlinked")
+
+
+def _possible(similarity: float) -> Column:
+    """Whether a member and another that first meet at these places can be similar and are not linked yet."""
+    shared = F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
+    return ((F.col("group") != F.col("o_group"))
+            & (F.least("size", "o_size") >= F.greatest("size", "o_size") * similarity - 1e-6)
+            & (shared >= (F.col("size") + F.col("o_size")) * (similarity / (1 + similarity)) - 1e-6))
+
+
+def _ordered_pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("doc_id", "o_id").alias("doc_id"), F.greatest("doc_id", "o_id").alias("other")).distinct()
+
+
+def _remaining_links(docs: DataFrame, links: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links that, with ``links``, connect all that similar pairs of ``docs`` connect.
+
+    Similar documents share a shingle of their prefixes. In each bucket, the members meet the one with
+    the fewest rarer shingles.
+    """
+    buckets = _prefix_buckets(docs, shingle, similarity)
+    members = _unlinked(buckets, links)
+    hubs = settle(members.groupBy("key").agg(F.min(F.struct(
+        (F.col("place") / F.col("size")).alias("at"), F.col("doc_id").alias("o_id"), F.col("size").alias("o_size"),
+        F.col("place").alias("o_place"), F.col("group").alias("o_group"))).alias("hub")).select("key", "hub.*"), "hubs")
+    near = settle(_ordered_pairs(members.join(hubs, "key").where(_possible(similarity))), "near_pairs")
+    return _verified(near, docs, shingle, similarity)
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, length: int = 32,
                          radius: int = 1) -> DataFrame:
     """``docs`` without the documents whose group of near-duplicates has a smaller doc_id.
@@ -209,13 +329,9 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
                        .where("doc_id != other")
                        .select(F.least("doc_id", "other").alias("doc_id"), F.greatest("doc_id", "other").alias("other"))
                        .distinct(), "near_pairs")
-    wanted = pairs.select("doc_id").union(pairs.select("other")).distinct()
-    sets = settle(_shingle_sets(known.join(wanted, "doc_id", "left_semi"), shingle)
-                  .dropDuplicates(["doc_id"]), "shingle_sets")
-    held = (pairs.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("other"), F.col("set").alias("other_set")), "other")
-                 .where("least(length(set), length(other_set)) >= greatest(length(set), length(other_set)) * "
-                        f"{similarity} - 1e-6"))
-    links = settle(_alike(held.select("doc_id", "other", "set", "other_set"), similarity).union(copies), "near_links")
+    links = settle(_verified(pairs, known, shingle, similarity).union(copies), "near_links")
+    texts = settle(known.join(copies.select("doc_id"), "doc_id", "left_anti").dropDuplicates(["doc_id"]), "texts")
+    links = links.union(_remaining_links(texts, links, shingle, similarity))
     groups = connected_components(links, "doc_id", "other")
     gone = settle(groups.where("node != component").select(F.col("node").alias("doc_id")), "near_duplicates")
     return docs.join(gone, "doc_id", "left_anti")

@@ -115,3 +115,29 @@ def test_fingerprint_counts_blocks():
     sums = [2 * int(((hashes >> np.uint64(i)) & np.uint64(1)).sum()) > len(hashes) for i in range(64)]
     assert simhash.fingerprint(hashes) == sum(1 << i for i, on in enumerate(sums) if on)
     assert plain_print(BODY) == simhash.fingerprint(simhash.shingle_hashes(BODY.encode().split(), 3))
+
+
+def jaccard_groups(rows, size=5, similarity=0.8):
+    sets = {}
+    for doc, text, *_ in rows:
+        words = text.lower().split()
+        sets[doc] = {" ".join(words[i:i + size]) for i in range(len(words) - size + 1)} or {" ".join(words)}
+    linked = [(a, b) for a, b in combinations(sets, 2)
+              if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+    return roots(sets, linked)
+
+
+def test_stage_equals_brute_force_at_short_lengths(spark):
+    """Pairs of 50 to 300 words near the threshold, most without an equal passage."""
+    rng, rows = random.Random(11), []
+    for n in (50, 60, 80, 100, 150, 200, 300):
+        for _ in range(25):
+            words = [f"w{rng.randrange(100_000)}" for _ in range(n)]
+            rows.append((len(rows), " ".join(words), "en"))
+            for place in rng.sample(range(n), max(1, n * rng.randrange(1, 6) // 100)):
+                words[place] = "changed"
+            rows.append((len(rows), " ".join(words), "en"))
+    expected = jaccard_groups(rows)
+    assert 60 < sum(d != c for d, c in expected.items()) < 175
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(frame(spark, rows)).collect()}
+    assert kept == set(expected.values())
