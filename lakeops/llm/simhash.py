@@ -292,8 +292,9 @@ def _ordered_pairs(met: DataFrame) -> DataFrame:
 def _remaining_links(docs: DataFrame, links: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Links that, with ``links``, connect all that similar pairs of ``docs`` connect.
 
-    Similar documents share a shingle of their prefixes. In each bucket, the members meet the one with
-    the fewest rarer shingles.
+    Similar documents share a shingle of their prefixes. In each bucket, the members first meet the one
+    with the fewest rarer shingles. Buckets that are connected after that need no more; in all others
+    every two members that no links connect are compared, if their lengths and places allow it.
     """
     buckets = _prefix_buckets(docs, shingle, similarity)
     members = _unlinked(buckets, links)
@@ -301,7 +302,12 @@ def _remaining_links(docs: DataFrame, links: DataFrame, shingle: int, similarity
         (F.col("place") / F.col("size")).alias("at"), F.col("doc_id").alias("o_id"), F.col("size").alias("o_size"),
         F.col("place").alias("o_place"), F.col("group").alias("o_group"))).alias("hub")).select("key", "hub.*"), "hubs")
     near = settle(_ordered_pairs(members.join(hubs, "key").where(_possible(similarity))), "near_pairs")
-    return _verified(near, docs, shingle, similarity)
+    found = _verified(near, docs, shingle, similarity)
+    members = _unlinked(buckets, settle(links.union(found), "links_so_far"))
+    others = members.select("key", F.col("doc_id").alias("o_id"), F.col("size").alias("o_size"),
+                            F.col("place").alias("o_place"), F.col("group").alias("o_group"))
+    rest = _ordered_pairs(members.join(others.hint("merge"), "key").where(F.col("doc_id") < F.col("o_id")).where(_possible(similarity)))
+    return found.union(_verified(settle(rest.join(near, ["doc_id", "other"], "left_anti"), "rest_pairs"), docs, shingle, similarity))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, length: int = 32,

@@ -141,3 +141,21 @@ def test_stage_equals_brute_force_at_short_lengths(spark):
     assert 60 < sum(d != c for d, c in expected.items()) < 175
     kept = {r["doc_id"] for r in simhash.drop_near_duplicates(frame(spark, rows)).collect()}
     assert kept == set(expected.values())
+
+
+def test_stage_goes_on_where_the_hub_of_a_bucket_fails(spark):
+    """One hot text with edits near each other: of its copies only some are similar, in chains that miss the hub."""
+    rng = random.Random(4)
+    base, rows = [f"w{i}" for i in range(100)], []
+    for i in range(160):
+        words = list(base)
+        for place in rng.sample(range(10, 90), rng.choice([2, 2, 3, 3, 4])):
+            words[place] = f"own{i}"
+        rows.append((i, " ".join(words), "en"))
+    for i in range(0, 160, 4):  # a chain: similar to its start, and little like the other copies
+        words = rows[i][1].split()
+        words[rng.randrange(10)] = f"more{i}"
+        rows.append((1_000 + i, " ".join(words), "en"))
+    expected = jaccard_groups(rows)
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(frame(spark, rows)).collect()}
+    assert kept == set(expected.values())
