@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from lakeops.session import materialise, ship_package
 
 #: Text handled at once inside a Python task; longer documents are handled alone.
 SLICE_BYTES = 4 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -60,6 +62,16 @@ def texts_as_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [b"" if v is None else v for v in column(batch, name).cast(pa.binary()).to_pylist()]
 
 
+def pieces(text: bytes, limit: int = 4 << 20) -> Iterator[list[bytes]]:
+    """The words of a text, in lists of about ``limit`` bytes."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + limit)
+        stop = cut.start() if cut else len(text)
+        yield text[at:stop].split()
+        at = stop
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; Spark then removes the shuffles that it took.
 

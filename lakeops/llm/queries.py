@@ -12,11 +12,14 @@ from lakeops.llm import quality_classifier
 from lakeops.llm.common import documents, id_bucket, table
 from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.language import identify
+from lakeops.llm.lexical_search import search
 from lakeops.llm.line_dedup import dedup_lines
+from lakeops.llm.merkle import manifest
 from lakeops.llm.packing import pack_documents
 from lakeops.llm.quality_rules import apply_rules
 from lakeops.llm.sharding import shard
 from lakeops.llm.simhash import near_duplicates
+from lakeops.llm.substring_dedup import remove_repeated_windows
 from lakeops.llm.suffix_dedup import remove_repeats
 from lakeops.llm.url_filters import filter_urls
 
@@ -139,3 +142,106 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), with_text=False)
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_lexical_search"] = r"""
+with doc_terms as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents where text is not null),
+sizes as (select doc_id, len(w)::bigint as n from doc_terms where len(w) > 0),
+totals as (select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from sizes),
+counts as (select doc_id, term, count(*)::bigint as tf from (select doc_id, unnest(w) as term from doc_terms) group by 1, 2),
+weights as (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight
+  from counts, totals group by term, n_docs),
+asked as (
+  select item_id, term, count(*)::bigint as times
+  from (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark where text is not null) group by 1, 2),
+scored as (
+  select item_id, doc_id,
+         sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::bigint as score
+  from asked join weights using (term) join counts using (term) join sizes using (doc_id), totals group by 1, 2),
+ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+           from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_windows(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLES["op12_substring_dedup"] = r"""
+with words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+  select doc_id, i, sha256(array_to_string(w[i:i + 19], ' ')) as win
+  from (select doc_id, w, unnest(range(1, (len(w) - 18)::bigint)) as i from words where len(w) >= 20)),
+placed as (select doc_id, i, row_number() over (partition by win order by doc_id, i) as place from windows),
+gone as (select distinct doc_id, p from (select doc_id, unnest(range(i, i + 20)) as p from placed where place > 1)),
+spread as (select doc_id, unnest(w) as word, unnest(range(1, (len(w) + 1)::bigint)) as p from words),
+kept as (
+  select doc_id, string_agg(word, ' ' order by p) as rest, count(*) as n
+  from spread anti join gone using (doc_id, p) group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(rest, '')) as kept_sha256
+from words left join kept using (doc_id)
+"""
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(documents(spark, sf_dir))
+
+
+def _merkle_sql(source_levels: int, top_levels: int) -> str:
+    """The trees level by level: as many as 16 ** levels documents of a source, and sources, need."""
+    def field(name: str, value: str | None = None) -> str:
+        shown = f"({value or name})::varchar"
+        return f"case when {name} is null then '-' else octet_length(encode({shown}))::varchar || ':' || {shown} end"
+
+    def leaf(text: str | None = None) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars"))) + f" || {field('text', text)})"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # crc32 of the digits: -1 stands for one step of the division, other entries are added first
+    steps = "flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint] || list_value(-1,-1,-1,-1,-1,-1,-1,-1)))"
+    crc = (f"xor(list_reduce([4294967295::bigint] || {steps}, lambda a, x: case when x >= 0 then xor(a, x) "
+           "when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295)")
+    parts = [
+        f"base as (select doc_id, source, {leaf()} as leaf, {leaf(lowered)} as lowered, {crc} as crc from documents)",
+        "rows as (select *, case when crc % 5 = 0 then lowered else leaf end as cand, "
+        "row_number() over (partition by source order by doc_id, leaf) - 1 as i0, row_number() over () as row_id from base)",
+        "s0 as (select source, i0 as i, leaf as d, count(*) over (partition by source) as n from rows)"]
+
+    def tower(name: str, keys: str, levels: int) -> None:
+        on = " and ".join(f"p.{k} is not distinct from r.{k}" for k in keys.split(", "))
+        for k in range(levels):
+            parts.append(f"{name}{k + 1} as (select {keys}, i // 16 as i, case when n > 1 then sha256(string_agg(d, '' order by i)) "
+                         f"else any_value(d) end as d, (n + 15) // 16 as n from {name}{k} group by {keys}, n, i // 16)")
+            parts.append(f"{name}r{k} as (select {keys}, i // 16 as b, list(d order by i) as run from {name}{k} where n > 1 "
+                         f"group by {keys}, i // 16)")
+            left, right = "array_to_string(run[1:pos % 16], '')", "array_to_string(run[pos % 16 + 2:], '')"
+            start = {"s": "(select *, i0 as pos, '' as sib, cand as cur from rows)",
+                     "t": "(select p0.* exclude (pos), top.i as pos, one from {last} p0 join t0 top on p0.source is not distinct from top.source)"}
+            before = start[name].format(last=f"sp{source_levels - 1}") if k == 0 else f"{name}p{k - 1}"
+            parts.append(f"{name}p{k} as (select p.* exclude (pos, sib, cur), pos // 16 as pos, "
+                         f"case when run is null then sib else sib || {left} || {right} end as sib, "
+                         f"case when run is null then cur else sha256({left} || cur || {right}) end as cur "
+                         f"from {before} p left join {name}r{k} r on {on} and p.pos // 16 = r.b)")
+
+    tower("s", "source", source_levels)
+    parts.append(f"t0 as (select 1 as one, source, d, row_number() over (order by source nulls first) - 1 as i, count(*) over () as n from s{source_levels})")
+    tower("t", "one", top_levels)
+    return (f"with {', '.join(parts)} select p.doc_id, p.leaf, s.d as subroot, t.d as root, sha256(p.sib) as proof_sha256, "
+            f"p.cur as folded_root, p.cur = t.d as verified from tp{top_levels - 1} p "
+            f"join s{source_levels} s on p.source is not distinct from s.source, t{top_levels} t")
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql(5, 3)
