@@ -10,7 +10,7 @@ space and ``\\t\\n\\v\\f\\r``; windows are judged on the input and never cross d
    window is sent on. A passage that a third of all documents share is sent once for each slice, and a
    document that repeats in a slice costs no window.
 2. *Counts.* A task holds one bucket, whose number grows with the corpus, and finds the windows that holders
-   with different doc_ids sent. All but the smallest doc_id get the window's hash back.
+   with different doc_ids sent. All but the smallest doc_id get the window's hash back, packed by groups of texts.
 3. *Intervals.* Texts meet their hashes and intervals. Windows that go are merged into maximal intervals of words,
    and the remaining words are joined by one space.
 
@@ -37,8 +37,8 @@ from lakeops.llm.common import column, map_batches, pieces, settle, slices, text
 
 SIZE = 20
 #: Text whose windows one task gathers at most, about.
-TASK_BYTES = 20 << 20
-_SLICE = 8 << 20
+TASK_BYTES = 12 << 20
+_SLICE = 4 << 20
 _LAST_ID = (1 << 63) - 1
 #: Words that are split, and windows that are hashed, at once.
 _CHUNK = 1 << 20
@@ -186,8 +186,30 @@ def later_holders(value: np.ndarray, extra: np.ndarray, order: np.ndarray) -> np
     return several[o > o[head]]
 
 
+def _group_of(orders: np.ndarray, keys: np.ndarray, groups: int) -> np.ndarray:
+    mixed = (orders.astype(np.uint64) * np.uint64(_BASES[0])) ^ (keys.astype(np.uint64) * np.uint64(_BASES[1]))
+    return ((mixed >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)
+
+
+def _packed_by_group(orders: np.ndarray, keys: np.ndarray, owner: np.ndarray, values: np.ndarray, groups: int) -> Iterator[tuple]:
+    """Group, orders, keys and counts of texts, and the values, for each group of texts; ``owner`` ascends."""
+    group = _group_of(orders, keys, groups)[owner]
+    turn = np.argsort(group, kind="stable")
+    owner, values, group = owner[turn], values[turn], group[turn]
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]]) if len(group) else np.empty(0, np.int64)
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        own, many = np.unique(owner[low:high], return_counts=True)
+        yield int(group[low]), orders[own].tobytes(), keys[own].tobytes(), many.astype("<u4").tobytes(), values[low:high].tobytes()
+
+
 def _answers(rows: DataFrame, buckets: int) -> DataFrame:
-    """order and key of texts with hashes of windows, or intervals of words, that go."""
+    """Hashes of windows and intervals of words that go, packed by groups of texts."""
+    def batch_of(found: list[tuple], kind: str) -> pa.RecordBatch:
+        columns = [pa.array([r[0] for r in found], pa.int32()), *(pa.array([r[i] for r in found], pa.binary()) for i in range(1, 5))]
+        nothing = pa.nulls(len(found), pa.binary())
+        last = [columns[4], nothing] if kind == "hashes" else [nothing, columns[4]]
+        return pa.RecordBatch.from_arrays([*columns[:4], *last], names=["group", *_ANSWER])
+
     def judge(batches):
         packed: list[tuple] = []
         for batch in batches:
@@ -195,7 +217,9 @@ def _answers(rows: DataFrame, buckets: int) -> DataFrame:
                 if row[6] is None:
                     packed.append(row)
                 else:
-                    yield from _known_spans(row)
+                    orders, keys, counts = (np.frombuffer(row[i], kind) for i, kind in zip((1, 2, 3), ("<i8", "<i8", "<u4")))
+                    spans = np.frombuffer(row[6], "<i8").reshape(-1, 2)
+                    yield batch_of([*_packed_by_group(orders, keys, np.repeat(np.arange(len(counts)), counts), spans, buckets)], "spans")
         packed.sort(key=lambda row: row[0])
         while packed:
             last = len(packed) - 1
@@ -207,36 +231,46 @@ def _answers(rows: DataFrame, buckets: int) -> DataFrame:
                 np.concatenate([np.frombuffer(r[i], kind) for r in mine]) for i, kind in zip(range(1, 6), ("<i8", "<i8", "<u4", "<u8", "u1")))
             run = np.repeat(np.arange(len(counts)), counts)
             gone = np.sort(later_holders(value, extra, orders[run]))  # entries of one run lie together
-            runs, first, many = np.unique(run[gone], return_index=True, return_counts=True)
-            for at in range(0, len(runs), 4096):
-                some = slice(at, at + 4096)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(orders[runs[some]]), pa.array(keys[runs[some]]),
-                     pa.array([value[gone[f:f + n]].tobytes() for f, n in zip(first[some], many[some])], pa.binary()),
-                     pa.nulls(len(runs[some]), pa.binary())], names=["order", "key", "hashes", "spans"])
+            found = [*_packed_by_group(orders, keys, run[gone], value[gone], buckets)]
+            if found:
+                yield batch_of(found, "hashes")
 
-    return map_batches(rows.repartitionById(buckets, "bucket"), "order bigint, key bigint, hashes binary, spans binary", judge)
+    return map_batches(rows.repartitionById(buckets, "bucket"), "group int" + "".join(f", {n} binary" for n in _ANSWER), judge)
 
 
-def _known_spans(row: tuple) -> Iterator[pa.RecordBatch]:
-    _, orders, keys, counts, _, _, spans = row
-    ends = 16 * np.cumsum(np.frombuffer(counts, "<u4").astype(np.int64))
-    cut = [spans[a:b] for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist())]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.frombuffer(orders, "<i8")), pa.array(np.frombuffer(keys, "<i8")), pa.nulls(len(cut), pa.binary()),
-         pa.array(cut, pa.binary())], names=["order", "key", "hashes", "spans"])
+_ANSWER = ("orders", "keys", "counts", "hashes", "spans")
 
 
-def _intervals(numbers: np.ndarray, words: Words, rolling: Rolling, hashes: list[bytes], spans: list[bytes]) -> np.ndarray:
+def _by_text(answers: DataFrame, groups: int) -> DataFrame:
+    """order and key of each text with its hashes and intervals."""
+    def collect(batches):
+        found: dict[tuple[int, int], tuple[list, list]] = {}
+        for batch in batches:
+            for orders, keys, counts, hashes, spans in zip(*(column(batch, n).to_pylist() for n in _ANSWER)):
+                place, values, width = (0, hashes, 8) if spans is None else (1, spans, 16)
+                at = 0
+                for order, key, n in zip(*(np.frombuffer(x, k).tolist() for x, k in ((orders, "<i8"), (keys, "<i8"), (counts, "<u4")))):
+                    found.setdefault((order, key), ([], []))[place].append(values[at:at + n * width])
+                    at += n * width
+        names = list(found)
+        for start in range(0, len(names), 256):
+            some = names[start:start + 256]
+            lists = [found.pop(n) for n in some]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([n[i] for n in some], pa.int64()) for i in (0, 1)),
+                 *(pa.array([b"".join(x[i]) for x in lists], pa.binary()) for i in (0, 1))], names=["order", "key", "hashes", "spans"])
+
+    return map_batches(answers.repartitionById(groups, "group"), "order bigint, key bigint, hashes binary, spans binary", collect)
+
+
+def _intervals(numbers: np.ndarray, words: Words, rolling: Rolling, hashes: bytes, spans: bytes) -> np.ndarray:
     """The maximal intervals of words that go, from the hashes of windows and known intervals."""
     change = np.zeros(len(numbers) + 1, np.int64)
-    for found in spans:
-        pairs = np.frombuffer(found, "<i8").reshape(-1, 2)
-        np.add.at(change, pairs[:, 0], 1)
-        np.add.at(change, pairs[:, 1], -1)
+    pairs = np.frombuffer(spans, "<i8").reshape(-1, 2)
+    np.add.at(change, pairs[:, 0], 1)
+    np.add.at(change, pairs[:, 1], -1)
     if hashes:
-        wanted = np.concatenate([np.frombuffer(h, "<u8") for h in hashes])
-        at = np.flatnonzero(np.isin(rolling(words.hashes(numbers, 0)), wanted))
+        at = np.flatnonzero(np.isin(rolling(words.hashes(numbers, 0)), np.frombuffer(hashes, "<u8")))
         change[at] += 1
         change[at + rolling.size] -= 1
     covered = np.concatenate([[False], np.cumsum(change[:-1]) > 0, [False]])
@@ -244,7 +278,7 @@ def _intervals(numbers: np.ndarray, words: Words, rolling: Rolling, hashes: list
 
 
 def _finished(texts: DataFrame, size: int, with_text: bool) -> DataFrame:
-    """The result of each row of doc_id, text, and its lists of hashes and spans."""
+    """The result of each row of doc_id, text, and its hashes and spans."""
     doc_id = texts.schema["doc_id"]
     out = T.StructType([T.StructField("doc_id", doc_id.dataType)] + [
         T.StructField(n, T.LongType()) for n in ("n_words", "n_removed", "n_spans")] + [
@@ -260,7 +294,7 @@ def _finished(texts: DataFrame, size: int, with_text: bool) -> DataFrame:
                 for text, hashes, spans in zip(texts_as_bytes(part), column(part, "hashes").to_pylist(), column(part, "spans").to_pylist()):
                     gone = np.empty((0, 2), np.int64)
                     if hashes or spans:
-                        gone = _intervals(numbers_of(text, words), words, rolling, hashes or [], spans or [])
+                        gone = _intervals(numbers_of(text, words), words, rolling, hashes or b"", spans or b"")
                     rows.append(_kept(text, gone, with_text))
                 made = [pa.array([r[i] for r in rows], t) for i, t in enumerate(
                     [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][:4 + with_text])]
@@ -305,10 +339,11 @@ def remove_repeated_windows(docs: DataFrame, size: int = SIZE, with_text: bool =
     texts = rows.where(long_enough).withColumn("key", text_key)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
-    answers = settle(_answers(_window_rows(texts.select("order", "key", "text"), size, buckets), buckets), "repeated_windows")
-    lists = answers.groupBy(F.col("order").alias("o"), F.col("key").alias("k")).agg(
-        F.collect_list("hashes").alias("hashes"), F.collect_list("spans").alias("spans"))
-    met = texts.join(lists, (F.col("order") == F.col("o")) & (F.col("key") == F.col("k")), "left")
-    none = F.lit(None).cast("array<binary>")
+    windows = _window_rows(texts.select("order", "key", "text"), size, buckets)
+    answers = settle(_answers(windows, buckets), "repeated_windows")
+    found = settle(_by_text(answers, buckets), "windows_by_text").select(
+        F.col("order").alias("o"), F.col("key").alias("k"), "hashes", "spans")
+    met = texts.join(found, (F.col("order") == F.col("o")) & (F.col("key") == F.col("k")), "left")
+    none = F.lit(None).cast("binary")
     others = rows.where(~long_enough).select("doc_id", "text", none.alias("hashes"), none.alias("spans"))
     return _finished(met.select("doc_id", "text", "hashes", "spans").union(others), size, with_text)
