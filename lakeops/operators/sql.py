@@ -6,9 +6,10 @@ import datetime
 import decimal
 import json
 import re
-from dataclasses import dataclass
+import time
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from lakeops.operators.skew import number_rows
@@ -193,3 +194,44 @@ def scanned_files(df: DataFrame) -> DataFrame:
     """Distinct input files with their sizes; ``df`` must read files directly."""
     return df.select(F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_size").alias("bytes")).distinct()
+
+
+@dataclass
+class RunStatistics:
+    """What one run did, gathered while it ran. ``bytes`` are those of the files it wrote."""
+    rows: int
+    partitions: int | None
+    bytes: int
+    files: int
+    seconds: float
+    dml_rows: int | None = None
+    label: str | None = None
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(
+            [tuple(asdict(self).values())],
+            "rows bigint, partitions bigint, bytes bigint, files bigint, seconds double, dml_rows bigint, label string")
+
+
+def run_observed(df: DataFrame, path: str | None = None, fmt: str = "parquet", partition_column: str | None = None,
+                 label: str | None = None, changed: Column | None = None) -> tuple[DataFrame, RunStatistics]:
+    """Write a result and gather its statistics in the same run, by observation: the plan is evaluated once.
+
+    ``partition_column`` holds ids of partitions, of which a table has a bounded number; those touched are counted exactly.
+    ``changed`` tells the rows that a change affected. Size and number of files come from a listing of what was written.
+    """
+    spark = df.sparkSession
+    path = path or scratch_dir(spark, "result")
+    seen = [F.count(F.lit(1)).alias("rows")]
+    if partition_column:
+        seen.append(F.size(F.collect_set(F.coalesce(F.col(partition_column).cast("string"), F.lit("\0")))).alias("partitions"))
+    if changed is not None:
+        seen.append(F.count_if(changed).alias("dml_rows"))
+    run = Observation()
+    began = time.monotonic()
+    df.observe(run, *seen).write.format(fmt).save(path)
+    seconds = time.monotonic() - began
+    written = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                    .agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first())
+    stats = RunStatistics(run.get["rows"], run.get.get("partitions"), written[0], written[1], seconds, run.get.get("dml_rows"), label)
+    return spark.read.schema(df.schema).format(fmt).load(path), stats

@@ -9,9 +9,11 @@ from lakeops.functions import values
 from lakeops.functions.labels import clean_label
 from lakeops.operators import reports, sql, text
 from lakeops.operators.tables import write_table
+from lakeops.operators.interval_join import interval_join
+from lakeops.operators.sketches import append_sketches, distinct_sketches, estimates, roll_up
 from lakeops.plans.fixtures import table
 from lakeops.plans.registry import query
-from lakeops.session import fresh_database
+from lakeops.session import fresh_database, scratch_dir
 
 PRICING = """
   SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity,
@@ -361,3 +363,45 @@ def safety_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = text.safety(ratings)
     return found.select("doc_id", "part", F.array_join("scores", ",").alias("scores"),
                         F.array_join("categories", ",").alias("categories"), "blocked")
+
+
+@query("run_observed", """
+  select count(*) as rows, count(distinct cast(ts as date)) as partitions, count_if(value > 100) as dml_rows,
+         'purchases' as label, true as timed from events where event_type = 'purchase' and value > 50""")
+def run_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics that were gathered while the result was written."""
+    events = table(spark, sf_dir, "events").where("event_type = 'purchase' and value > 50").withColumn("day", F.to_date("ts"))
+    _, stats = sql.run_observed(events, partition_column="day", label="purchases", changed=F.col("value") > 100)
+    return stats.frame(spark).select("rows", "partitions", "dml_rows", "label",
+                                     ((F.col("seconds") > 0) & (F.col("bytes") > 0) & (F.col("files") > 0)).alias("timed"))
+
+
+@query("sql_interval_join", """
+  select s.event_type as opened, e.event_type, count(*) as n, sum(e.event_id) as ids
+  from (select *, ts + to_minutes(cast(floor(value) as bigint) + 1) as until from events where event_type in ('signup', 'error')) s
+  join events e on e.ts >= s.ts and e.ts < s.until group by all""")
+def sql_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events within the minutes after a signup or error of anybody: an equi-join on bins, no nested loop."""
+    events = table(spark, sf_dir, "events")
+    opened = events.where("event_type in ('signup', 'error')").select(
+        F.col("event_type").alias("opened"), F.col("ts").alias("since"), F.expr("ts + make_interval(0, 0, 0, 0, 0, cast(floor(value) as int) + 1)").alias("until"))
+    points = events.select("event_type", "event_id", F.col("ts").alias("at"), F.expr("ts + interval 1 microsecond").alias("after"))
+    return interval_join(opened, points, ("since", "until"), ("at", "after")).groupBy("left.opened", "right.event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("right.event_id").cast("decimal(38,0)").alias("ids"))
+
+
+@query("sql_distinct_rolled_up", """
+  select strftime(ts, '%Y-%m') as month, event_type, count(*) as rows, count(distinct user_id) as users, true as close
+  from events group by all""")
+def sql_distinct_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of a month from stored sketches of its days, beside the exact count."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    stored, half = scratch_dir(spark, "sketches"), F.col("event_id") % 2 == 0
+    groups = {"day": "day", "event_type": "event_type"}
+    # days grow while their rows come in; the sketches of both halves are merged
+    append_sketches(distinct_sketches(events.where(half), groups, "user_id"),
+                    distinct_sketches(events.where(~half), groups, "user_id")).write.parquet(stored)
+    months = estimates(roll_up(spark.read.parquet(stored), {"month": "date_format(day, 'yyyy-MM')", "event_type": "event_type"}), "about")
+    exact = events.groupBy(F.date_format("day", "yyyy-MM").alias("month"), "event_type").agg(F.count_distinct("user_id").alias("users"))
+    return months.join(exact, ["month", "event_type"]).select(
+        "month", "event_type", "rows", "users", (F.abs(F.col("about") - F.col("users")) <= 0.02 * F.col("users") + 1).alias("close"))

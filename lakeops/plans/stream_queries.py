@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from lakeops.sources import docs
 from lakeops.sources.series import query_series
 from lakeops.streaming import changes, watch
 from lakeops.streaming.consume import consume_batch, consume_stream, publish
+from lakeops.streaming.triggers import read_events, watch_table, watch_windows
 from lakeops.streaming.write_stream import stream_write
 
 
@@ -51,6 +54,23 @@ def messages_consumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.rows.select("message_id", "data", F.col("attributes")["event_type"].alias("event_type"))
 
 
+@query("messages_consumed_exactly", """
+  with a as (select count(*) as n, count(*) // 6 as part from events)
+  select cast(call as bigint) as call, case when call < 4 then part else n - 4 * part end as taken, n as all_messages
+  from a, range(5) r(call)""")
+def messages_consumed_exactly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four calls take a sixth each, out of larger batches, and a fifth the rest; every message once."""
+    checkpoint, events, files = scratch_dir(spark, "checkpoint"), table(spark, sf_dir, "events"), scratch_dir(spark, "files")
+    events.repartition(3, "event_id").write.parquet(files)
+    messages = messages_of(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files))
+    part = events.count() // 6
+    calls = [consume_batch(messages, max_records=part if n < 4 else None, max_duration=3600, checkpoint=checkpoint) for n in range(5)]
+    rows = reduce(DataFrame.unionByName, [got.rows.select("message_id", F.lit(n).cast("bigint").alias("call")) for n, got in enumerate(calls)])
+    once = rows.groupBy("message_id").agg(F.count(F.lit(1)).alias("times"), F.min("call").alias("call")).where("times = 1")
+    total = once.agg(F.count(F.lit(1)).alias("all_messages"))
+    return once.groupBy("call").agg(F.count(F.lit(1)).alias("taken")).join(F.broadcast(total))
+
+
 @query("messages_consumed_continuously", "select event_type, count(*) as n from events group by 1")
 def messages_consumed_continuously(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "handled")
@@ -156,6 +176,38 @@ def sql_watched_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id bigint, value double").parquet(out).select("event_id", "value")
 
 
+@query("table_watched_as_stream", """
+  select user_id, 'ENTER' as change from events where event_type = 'error' group by user_id having count(*) > 3""")
+def table_watched_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with more than three errors over all batches, each reported once."""
+    out, files, events = scratch_dir(spark, "fired"), scratch_dir(spark, "files"), table(spark, sf_dir, "events")
+    events.repartition(4, "event_id").write.parquet(files)
+    base = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    watch_table(base.where("event_type = 'error'"), {"user_id": "user_id"}, {"n": "count(*)"}, "n > 3", out,
+                scratch_dir(spark, "checkpoint")).awaitTermination()
+    return read_events(spark, out).select("user_id", "change")
+
+
+@query("series_watched_as_stream", """
+  with polled as (
+    select t.event_type, i.instant,
+           coalesce(sum(cast(round(e.value * 100) as bigint)) > 5000 * count(e.event_id), false) as holds
+    from (select distinct event_type from events) t
+    cross join (select unnest(generate_series(date_trunc('day', min(ts)), max(ts) - interval 10 minute, interval 6 hour)) as instant from events) i
+    left join events e on e.event_type = t.event_type and e.ts >= i.instant - interval 24 hour and e.ts < i.instant
+    group by t.event_type, i.instant),
+  steps as (select *, coalesce(lag(holds) over (partition by event_type order by instant), false) as held from polled)
+  select event_type, epoch_us(instant) as at_us, case when holds then 'ENTER' else 'LEAVE' end as change from steps where holds <> held""")
+def series_watched_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types whose mean value of the last day exceeds 50, looked at every six hours."""
+    out = scratch_dir(spark, "entered")
+    points = stream(spark, sf_dir, "events").select(
+        "event_type", F.col("ts").cast("timestamp").alias("end_ts"), F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    watch_windows(points, ["event_type"], {"total": "sum(cents)", "n": "count(*)"}, "total > 5000 * n", out,
+                  scratch_dir(spark, "checkpoint"), window="24 hours", slide="6 hours", delay="10 minutes").awaitTermination()
+    return read_events(spark, out).select("event_type", F.unix_micros("at").alias("at_us"), "change")
+
+
 @query("cells_watched", f"""
   with c as ({CELLS_SQL}) select * from c where family = 'meta'
     and timestamp >= epoch_us(timestamp '2024-01-30 00:00:00')""")

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators.sql import as_script, bind_parameters, flatten, named_parameters, next_page, query_statistics, run_sql
+from lakeops.operators.sql import as_script, bind_parameters, flatten, named_parameters, next_page, query_statistics, run_observed, run_sql
 from lakeops.session import fresh_database
 
 
@@ -99,3 +99,21 @@ def test_destination_layout_views_and_database(spark):
                 destination=f"{database}.t", write="WRITE_TRUNCATE")
     assert spark.table(f"{database}.t").count() == 4
     assert (before, zone) == (spark.catalog.currentDatabase(), spark.conf.get("spark.sql.session.timeZone"))
+
+
+def test_observed_run_evaluates_its_plan_once(spark, folder):
+    touched = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            touched.add(len(batch))
+            yield batch
+
+    df = spark.range(100).withColumn("p", F.col("id") % 4).mapInPandas(count, "id bigint, p bigint").where("id >= 10")
+    rows, stats = run_observed(df, f"{folder}/out", partition_column="p", label="x", changed=F.col("id") < 15)
+    assert touched.value == 100
+    assert (stats.rows, stats.partitions, stats.dml_rows, stats.label) == (90, 4, 5, "x")
+    assert stats.bytes > 0 and stats.files > 0 and stats.seconds > 0 and rows.count() == 90
+    empty = run_observed(df.where("id < 0"), f"{folder}/none", partition_column="p")[1]
+    assert (empty.rows, empty.partitions, empty.dml_rows) == (0, 0, None)
+    assert stats.frame(spark).first()["rows"] == 90

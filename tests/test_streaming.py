@@ -83,6 +83,38 @@ def test_bounded_consume_resumes(spark, folder, topic):
         consume_batch(messages)
 
 
+def test_calls_take_exactly_their_bound_and_every_message_once(spark, folder):
+    spark.range(100).selectExpr("cast(concat('m', id) as binary) as data").repartition(6).write.parquet(f"{folder}/t")
+    messages = spark.readStream.schema("data binary").option("maxFilesPerTrigger", 2).parquet(f"{folder}/t")
+    seen = []
+    for _ in range(15):
+        got = consume_batch(messages, max_records=7, checkpoint=f"{folder}/c")
+        assert got.count == len(rows := got.rows.collect())
+        seen.append([r["data"] for r in rows])
+    assert [len(x) for x in seen] == [7] * 14 + [2]
+    assert sorted(x for part in seen for x in part) == sorted(f"m{i}" for i in range(100))
+    assert consume_batch(messages, max_records=7, checkpoint=f"{folder}/c").count == 0
+
+
+def test_a_call_that_fails_takes_nothing(spark, folder, monkeypatch):
+    from lakeops.streaming import consume
+    spark.range(20).selectExpr("cast(concat('m', id) as binary) as data").repartition(2).write.parquet(f"{folder}/t")
+    messages = spark.readStream.schema("data binary").parquet(f"{folder}/t")
+    put = consume.put_json_if_absent
+    monkeypatch.setattr(consume, "put_json_if_absent", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        consume_batch(messages, max_records=6, checkpoint=f"{folder}/c")
+    monkeypatch.setattr(consume, "put_json_if_absent", put)
+    got = [r["data"] for n in (6, 100) for r in consume_batch(messages, max_records=n, checkpoint=f"{folder}/c").rows.collect()]
+    assert sorted(got) == sorted(f"m{i}" for i in range(20))
+
+
+def test_static_frames_are_cut_exactly(spark, folder):
+    spark.range(50).selectExpr("cast(id as string) as data").repartition(7).write.parquet(f"{folder}/t")
+    for bound, expected in ((0, 0), (1, 1), (33, 33), (50, 50), (80, 50)):
+        assert consume_batch(spark.read.parquet(f"{folder}/t"), max_records=bound).count == expected
+
+
 def test_continuous_consume_stops(spark, folder, topic):
     taken = []
     query = consume_stream(source(spark, topic, 2), lambda batch, n: taken.extend(r["data"] for r in batch.collect()),
