@@ -7,6 +7,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.session import materialise
 
@@ -121,21 +122,57 @@ def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
 def rank_evenly(df: DataFrame, columns: list[str]) -> DataFrame:
     """Range-partition and sort by ``columns``; equal values may still spread over tasks.
 
-    Rows with equal values are told apart by a hash of the whole row. Copies of one row have
-    the same hash; where a sample shows that they are many, rows get a written-down salt too.
+    The rows are written down once with a salt, which tells equal rows apart; the sample of the range partitioning
+    and the sort read that. The input is evaluated once.
     """
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in plain])
-    keys = [F.col(c) for c in columns] + [tie]
-    if not _many_copies(df, tie):
-        return df.repartitionByRange(*keys).sortWithinPartitions(*columns)
     salted = materialise(df.withColumn("_salt", F.monotonically_increasing_id()), "salted")
-    return (salted.repartitionByRange(*keys, F.xxhash64("_salt")).drop("_salt")
+    return (salted.repartitionByRange(*[F.col(c) for c in columns], F.xxhash64("_salt")).drop("_salt")
                   .sortWithinPartitions(*columns))
 
 
-def _many_copies(df: DataFrame, row_hash: Column, fraction: float = 0.001, share: float = 0.02) -> bool:
-    """Whether one row makes up more than ``share`` of a sample. Decides speed, not results."""
-    counts = df.sample(fraction, seed=1).groupBy(row_hash.alias("_h")).count()
-    seen = counts.agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
-    return bool(seen["all"]) and seen["all"] >= 500 and seen["most"] > share * seen["all"]
+def cluster_evenly(df: DataFrame, columns: list[str], within: list[str] = (), bits: int = 8) -> DataFrame:
+    """Range-partition so that a filter on any one of ``columns`` reads a small part of the files.
+
+    Each column's values get ranks of ``bits`` bits from its quantiles, which one aggregate sketches for all columns, and
+    the layout key takes a bit of each column in turn, the highest first. Equal and very frequent values share a
+    rank and are dealt by a salt. ``within`` comes before: files hold ranges of it first. With one
+    column this is ``rank_evenly``.
+    """
+    if len(columns) == 1:
+        return rank_evenly(df, [*within, *columns])
+    salted = materialise(df.withColumn("_salt", F.monotonically_increasing_id()), "salted")
+    numbers = {c: _ordered_number(salted, c) for c in columns}
+    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
+    cuts = salted.agg(*[F.percentile_approx(n, steps, 20_000).alias(f"_q{i}") for i, n in enumerate(numbers.values())]).first()
+    ranked = salted.select("*", *[_rank(n, sorted(set(cuts[f"_q{i}"] or []))).alias(f"_r{i}") for i, n in enumerate(numbers.values())])
+    key = F.lit(0).cast("bigint")
+    for i in range(len(columns)):
+        for bit in range(bits):
+            place = bit * len(columns) + len(columns) - 1 - i
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(f"_r{i}", bit).bitwiseAND(F.lit(1)).cast("bigint"), place))
+    placed = ranked.withColumn("_key", key).drop(*[f"_r{i}" for i in range(len(columns))])
+    order = [*[F.col(c) for c in within], F.col("_key")]
+    return (placed.repartitionByRange(*order, F.xxhash64("_salt")).sortWithinPartitions(*order, *columns).drop("_salt", "_key"))
+
+
+def _ordered_number(df: DataFrame, name: str) -> Column:
+    """A number in the order of the column; of a text its first seven bytes."""
+    kind, column = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(column.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("bigint")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp"))
+    return column.cast("double") if isinstance(kind, (T.FractionalType, T.DecimalType)) else column.cast("bigint")
+
+
+def _rank(number: Column, cuts: list) -> Column:
+    """How many cuts are below a value, found by halving; null comes first."""
+    def find(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(number > F.lit(cuts[middle]), find(middle + 1, high)).otherwise(find(low, middle))
+
+    return F.when(number.isNull(), 0).otherwise(find(0, len(cuts)))

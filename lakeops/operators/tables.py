@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.schema import relaxed, to_struct_type
 from lakeops.operators.partitions import PARTITION, drop_partitions, list_partitions
-from lakeops.operators.skew import rank_evenly
+from lakeops.operators.skew import cluster_evenly
 from lakeops.session import materialise
 
 # Write and create dispositions, and allowed schema updates.
@@ -64,8 +64,7 @@ def write_table(df: DataFrame, name: str, *, write: str = "WRITE_APPEND",
         # written down first: a failing row leaves the table as it was, and rows may come from it
         df = materialise(df, "truncate")
     if cluster_by:
-        keys = [PARTITION, *cluster_by] if partitioned else list(cluster_by)
-        df = rank_evenly(df, keys)
+        df = cluster_evenly(df, list(cluster_by), [PARTITION] if partitioned else [])
     elif partitioned:
         df = df.hint("rebalance", PARTITION)
     if not exists:

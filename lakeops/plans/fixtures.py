@@ -103,3 +103,29 @@ def points_of(events: DataFrame) -> DataFrame:
         F.create_map(F.lit("user"), F.col("user_id").cast("string")).alias("labels"),
         F.lit("GAUGE").alias("kind"), "value",
         F.col("ts").cast("timestamp").alias("start_ts"), F.col("ts").cast("timestamp").alias("end_ts"))
+
+
+def split_and_merged_records(orders: DataFrame) -> DataFrame:
+    """Nested change records of four root partitions, eight children of those, and two that merge four each."""
+    at, key = F.col("o_orderdate").cast("timestamp"), F.col("o_custkey")
+    year = F.year("o_orderdate")
+    token = (F.when(year < 1994, F.concat(F.lit("root"), (key % 4).cast("string")))
+              .when(year < 1996, F.concat(F.lit("half"), (key % 8).cast("string")))
+              .otherwise(F.concat(F.lit("whole"), (key % 2).cast("string"))))
+    change = F.struct(at.alias("commit_ts"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("record_sequence"),
+                      F.when(F.col("o_orderstatus") == "P", "DELETE").otherwise("UPDATE").alias("mod_type"),
+                      key.alias("key"), F.col("o_totalprice").alias("value"))
+    child = lambda name, parents: F.struct(name.alias("token"), parents.alias("parent_partition_tokens"))
+    handed = lambda since, children: F.struct(F.lit(since).cast("timestamp").alias("start_timestamp"), children.alias("child_partitions"))
+    no_child = F.array().cast("array<struct<start_timestamp:timestamp,child_partitions:array<struct<token:string,parent_partition_tokens:array<string>>>>>")
+    data = orders.select(token.alias("partition_token"), F.array(F.struct(
+        F.array(change).alias("data_change_record"), no_child.alias("child_partitions_record"))).alias("ChangeRecord"))
+    digit = lambda text, n: F.concat(F.lit(text), (F.col("i") % n).cast("string"))
+    spark, no_change = orders.sparkSession, F.array().cast(data.schema["ChangeRecord"].dataType.elementType["data_change_record"].dataType)
+    half = handed("1994-01-01", F.array(child(digit("half", 8), F.array(digit("root", 4)))))
+    parents = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda j: F.concat(F.lit("half"), (j * 2 + F.col("i") % 2).cast("string")))
+    whole = handed("1996-01-01", F.array(child(digit("whole", 2), parents)))
+    tree = [spark.range(8).withColumnRenamed("id", "i").select(reader.alias("partition_token"), F.array(F.struct(
+        no_change.alias("data_change_record"), F.array(record).alias("child_partitions_record"))).alias("ChangeRecord"))
+        for reader, record in ((digit("root", 4), half), (digit("half", 8), whole))]
+    return data.unionByName(tree[0]).unionByName(tree[1])

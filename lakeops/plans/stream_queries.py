@@ -11,13 +11,13 @@ from lakeops.operators import docs as doc_ops
 from lakeops.operators import widecol as wide_ops
 from lakeops.operators.versioned import VersionedTable
 from lakeops.plans.fixtures import (CELLS_SQL, OBJECTS_SQL, cells_of, change_records_of, documents_of,
-                                    messages_of, objects_of, points_of, stream, table)
+                                    messages_of, objects_of, points_of, split_and_merged_records, stream, table)
 from lakeops.plans.load_queries import DOCUMENTS_SQL
 from lakeops.plans.registry import query
 from lakeops.session import scratch_dir
 from lakeops.sources import docs
 from lakeops.sources.series import query_series
-from lakeops.streaming import changes, watch
+from lakeops.streaming import changes, lineage, watch
 from lakeops.streaming.consume import consume_batch, consume_stream, publish
 from lakeops.streaming.triggers import read_events, watch_table, watch_windows
 from lakeops.streaming.write_stream import stream_write
@@ -338,3 +338,13 @@ def change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.count_changes(change_records_of(table(spark, sf_dir, "lineitem")),
                                  F.to_timestamp(F.lit("1998-01-01")), "INTERVAL 30 DAYS",
                                  F.to_timestamp(F.lit("1997-12-20")))
+
+
+@query("change_stream_replayed", """
+  select key, value, case when latest >= timestamp '1996-01-01' then 2 when latest >= timestamp '1994-01-01' then 1 else 0 end as generation from (
+    select o_custkey as key, arg_max(o_totalprice, (o_orderdate, o_orderkey)) as value, max(o_orderdate) as latest,
+           arg_max(o_orderstatus, (o_orderdate, o_orderkey)) as status from orders group by 1) where status <> 'P'""")
+def change_stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as changes to their customer, over partitions that split in 1994 and merge in 1996."""
+    records = split_and_merged_records(table(spark, sf_dir, "orders"))
+    return lineage.replay(records, ["key"]).select("key", "value", "generation")

@@ -153,33 +153,38 @@ def _without_leading_rows(rows: DataFrame, skip: int) -> DataFrame:
 
 # ---------------------------------------------------------------- JSON lines
 
-def unknown_keys(text: Column, schema: T.StructType) -> Column:
-    """True when the JSON object holds a key outside the schema, at any depth."""
-    extra = F.size(F.array_except(
-        F.json_object_keys(text), F.array(*[F.lit(f.name) for f in schema.fields]))) > 0
+def unknown_keys(value: Column, schema: T.StructType) -> Column:
+    """True when a parsed JSON object holds a key outside the schema, at any depth."""
+    fields = value.try_cast("map<string,variant>")
+    extra = F.size(F.array_except(F.map_keys(fields), F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>"))) > 0
     for f in schema.fields:
-        value = F.get_json_object(text, f"$['{f.name}']")
+        inner = F.element_at(fields, f.name)
         if isinstance(f.dataType, T.StructType):
-            extra = extra | unknown_keys(value, f.dataType)
-        elif isinstance(f.dataType, T.ArrayType) and isinstance(
-                f.dataType.elementType, T.StructType):
+            extra = extra | F.coalesce(unknown_keys(inner, f.dataType), F.lit(False))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
             element = f.dataType.elementType
-            extra = extra | F.exists(
-                F.from_json(value, "array<string>"), lambda e: unknown_keys(e, element))
+            extra = extra | F.coalesce(F.exists(inner.try_cast("array<variant>"), lambda e: unknown_keys(e, element)), F.lit(False))
     return F.coalesce(extra, F.lit(False))
 
 
+def _unknown_in_text(text: Column, schema: T.StructType) -> Column:
+    """The same for lines that have no parsed form, such as those that repeat a key; at the top level."""
+    return F.coalesce(F.size(F.array_except(F.json_object_keys(text), F.array(*[F.lit(f.name) for f in schema.fields]))) > 0, F.lit(False))
+
+
 def read_json_flagged(spark: SparkSession, paths: list[str], schema: T.StructType,
                       ignore_unknown_values: bool = False) -> DataFrame:
     data = relaxed(schema)
     parsed = F.from_json(
         F.col("value"), T.StructType([*data.fields, T.StructField(RAW, T.StringType())]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW})
-    rows = (spark.read.text(paths).where(F.trim("value") != "")
-                 .select(parsed.alias("r"), "value"))
+    # beside the typed reading, one parse of each line serves the comparison of keys at all depths
+    keys = [] if ignore_unknown_values else [F.try_parse_json("value").alias("v")]
+    rows = spark.read.text(paths).where(F.trim("value") != "").select(parsed.alias("r"), "value", *keys)
     bad = F.col("r").isNull() | F.col("r").getField(RAW).isNotNull()
     if not ignore_unknown_values:
-        bad = bad | unknown_keys(F.col("value"), schema)
+        bad = bad | F.when(F.col("v").isNotNull(), unknown_keys(F.col("v"), schema)).otherwise(
+            _unknown_in_text(F.col("value"), schema))
     flat = rows.select(*[F.col("r").getField(f.name).alias(f.name) for f in data.fields],
                        bad.alias("_bad"), "value")
     broken = F.coalesce(F.col("_bad") | missing_required(schema), F.lit(True))

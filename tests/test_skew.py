@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import nest_groups, newest_within_budget, number_rows, rank_evenly
+from lakeops.operators.skew import cluster_evenly, nest_groups, newest_within_budget, number_rows, rank_evenly
 
 
 def hot(spark, rows=3000):
@@ -91,3 +91,34 @@ def test_parts_joined_in_order_are_the_one_list(spark):
         assert len(r["vs"]) <= 100
         joined.setdefault(r["k"], []).extend(i["v"] for i in r["vs"])
     assert joined == whole and sum(r["k"] is None for r in parts) == 10
+
+
+def test_any_clustered_column_prunes_files(spark, folder):
+    """Two numbers, a text and a date that have nothing to do with each other."""
+    rows = spark.range(40_000).selectExpr(
+        "pmod(id * 7919, 10007) as a", "cast(pmod(id * 104729, 9973) as double) as b",
+        "concat('k', lpad(pmod(id * 1299709, 9001), 5, '0')) as c", "case when id % 3 = 0 then 5 else id end as hot")
+    for columns in (["a", "b", "c"], ["hot", "b"]):
+        path = f"{folder}/{columns[0]}"
+        cluster_evenly(rows, columns).write.option("maxRecordsPerFile", 400).parquet(path)
+        stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+        assert sorted(map(tuple, stored.select(rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+        ends = stored.groupBy("file").agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]).collect()
+        for column, value in (("a", 5_000), ("b", 5_000.0), ("c", "k04500"), ("hot", 20_002)):
+            if column in columns:
+                read = sum(1 for r in ends if r[f"low_{column}"] <= value <= r[f"high_{column}"])
+                assert read < len(ends) / 3, (column, read, len(ends))
+
+
+def test_layouts_evaluate_their_input_once(spark):
+    touched = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            touched.add(len(batch))
+            yield batch
+
+    rows = spark.range(1_000).withColumn("b", F.col("id") % 7).mapInPandas(count, "id bigint, b bigint")
+    assert rank_evenly(rows, ["id"]).count() == 1_000 and cluster_evenly(rows, ["id", "b"]).count() == 1_000
+    assert touched.value == 2_000
+    assert cluster_evenly(rows.limit(0), ["id", "b"]).count() == 0
