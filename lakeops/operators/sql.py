@@ -86,12 +86,14 @@ def as_script(sql: str) -> str:
 def run_sql(spark: SparkSession, sql: str, fetch_type: str = "FETCH", *, params: dict | None = None,
             destination: str | None = None, default_dataset: str | None = None,
             write: str = "WRITE_EMPTY", create: str = "CREATE_IF_NEEDED", partition_column: str | None = None,
-            granularity: str = "DAY", cluster_by: list[str] = (), schema_update: list[str] = ()) -> QueryResult:
+            granularity: str = "DAY", cluster_by: list[str] = (), schema_update: list[str] = (),
+            partition_range: tuple[int, int, int] | None = None) -> QueryResult:
     """Run a statement or script.
 
     FETCH hands the rows on, FETCH_ONE the first one, STORE writes them to files and reports
     place and count, NONE runs for effect only. A destination table receives the rows first; it
-    may be partitioned by the time in ``partition_column``, clustered, and take new fields.
+    may be partitioned by the time in ``partition_column``, or by its whole numbers in ranges of ``partition_range`` (start, end,
+    interval), clustered, and take new fields.
     """
     if fetch_type not in FETCH_TYPES:
         raise ValueError(f"fetch type is one of {FETCH_TYPES}")
@@ -106,9 +108,13 @@ def run_sql(spark: SparkSession, sql: str, fetch_type: str = "FETCH", *, params:
         if default_dataset:
             spark.catalog.setCurrentDatabase(before)
     if destination:
-        from lakeops.operators.partitions import partition_by_time
+        from lakeops.operators.partitions import partition_by_range, partition_by_time
         from lakeops.operators.tables import write_table
-        if partition_column:
+        if partition_range and not partition_column:
+            raise ValueError("a range partitioning needs its column")
+        if partition_range:
+            rows = partition_by_range(rows, partition_column, *partition_range)
+        elif partition_column:
             rows = partition_by_time(rows, partition_column, granularity)
         write_table(rows, destination, write=write, create=create, partitioned=bool(partition_column),
                     cluster_by=cluster_by, schema_update=schema_update)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ SCHEMA_UPDATES = ("ALLOW_FIELD_ADDITION", "ALLOW_FIELD_RELAXATION")
 # Names of the table properties this module reads and writes.
 REQUIRED, EXPIRES, PARTITION_TTL, CLUSTERING = (
     "lakeops.required", "lakeops.expires_ms", "lakeops.partition_ttl_ms", "lakeops.clustering")
+# Name of the database property with the lifetime of new tables.
+DEFAULT_TTL = "lakeops.default_table_ttl_ms"
 
 
 def check_table_name(name: str) -> list[str]:
@@ -70,6 +73,7 @@ def write_table(df: DataFrame, name: str, *, write: str = "WRITE_APPEND",
     if not exists:
         writer = df.write.partitionBy(PARTITION) if partitioned else df.write
         writer.format("parquet").saveAsTable(name)
+        _limit_lifetime(spark, name)
     else:
         (df.select(*spark.table(name).columns).write
            .option("partitionOverwriteMode", "static")
@@ -78,6 +82,21 @@ def write_table(df: DataFrame, name: str, *, write: str = "WRITE_APPEND",
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{CLUSTERING}' = '{','.join(cluster_by)}')")
 
 
+def set_default_lifetime(spark: SparkSession, database: str, table_ttl_ms: int | None) -> None:
+    """How long tables live that are made in the database from now on, unless they name their own expiry; None for ever."""
+    spark.sql(f"ALTER DATABASE {database} SET DBPROPERTIES ('{DEFAULT_TTL}' = '{table_ttl_ms or ''}')")
+
+
+def _limit_lifetime(spark: SparkSession, name: str, now_ms: int | None = None) -> None:
+    """Give a new table the default lifetime of its database."""
+    database = name.rsplit(".", 1)[0]
+    described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE DATABASE EXTENDED {database}").collect()}
+    found = re.search(rf"\({re.escape(DEFAULT_TTL)},\s*(\d+)\)", described.get("Properties", ""))
+    if found and not table_property(spark, name, EXPIRES):
+        now_ms = int(time.time() * 1000) if now_ms is None else now_ms
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{EXPIRES}' = '{now_ms + int(found[1])}')")
+
+
 def _fit_schema(spark: SparkSession, df: DataFrame, name: str, schema_update) -> DataFrame:
     """Checks the rows against the table; adds or relaxes fields where that is allowed."""
     table = spark.table(name)
@@ -124,6 +143,7 @@ def create_table(spark: SparkSession, name: str, definition: dict) -> None:
     if properties:
         statement += " TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")"
     spark.sql(statement)
+    _limit_lifetime(spark, name)
 
 
 def table_metadata(spark: SparkSession, name: str, if_missing: str = "ERROR") -> DataFrame | None:
@@ -133,14 +153,14 @@ def table_metadata(spark: SparkSession, name: str, if_missing: str = "ERROR") ->
             return None
         raise ValueError(f"{name} does not exist")
     described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
-    rows = size = None
+    rows = size = modified = None
     if described.get("Type") != "VIEW":
-        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
-        described = {r["col_name"]: r["data_type"]
-                     for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
-        figures = described.get("Statistics", "").replace(",", "").split()
-        size = int(figures[0]) if figures else None
-        rows = int(figures[figures.index("rows") - 1]) if "rows" in figures else None
+        # no column is read: the figures come from the files' footers and their listing
+        files = spark.table(name).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+            F.col("_metadata.file_modification_time").alias("modified")).groupBy("path", "size", "modified").count()
+        rows, size, modified = files.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0)),
+                                         F.max(F.unix_millis("modified"))).first()
     columns = spark.table(name).dtypes
     properties = ({} if described.get("Type") == "VIEW" else
                   {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()})
@@ -149,10 +169,10 @@ def table_metadata(spark: SparkSession, name: str, if_missing: str = "ERROR") ->
           [f"{c} {t}" for c, t in columns], described.get("Comment"), described.get("Created Time"),
           properties[CLUSTERING].split(",") if properties.get(CLUSTERING) else [],
           {k[6:]: v for k, v in properties.items() if k.startswith("label.")},
-          int(properties[EXPIRES]) if properties.get(EXPIRES) else None)],
+          int(properties[EXPIRES]) if properties.get(EXPIRES) else None, modified)],
         "name string, kind string, num_rows bigint, num_bytes bigint, partitioned boolean, "
         "columns array<string>, description string, created string, clustering array<string>, "
-        "labels map<string,string>, expires_ms bigint")
+        "labels map<string,string>, expires_ms bigint, modified_ms bigint")
 
 
 def copy_tables(spark: SparkSession, sources: list[str], target: str, *,

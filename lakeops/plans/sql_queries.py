@@ -405,3 +405,13 @@ def sql_distinct_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = events.groupBy(F.date_format("day", "yyyy-MM").alias("month"), "event_type").agg(F.count_distinct("user_id").alias("users"))
     return months.join(exact, ["month", "event_type"]).select(
         "month", "event_type", "rows", "users", (F.abs(F.col("about") - F.col("users")) <= 0.02 * F.col("users") + 1).alias("close"))
+
+
+@query("sql_destination_in_ranges", """
+  select case when user_id < 20 or user_id >= 100 then '__UNPARTITIONED__' else cast(user_id - user_id % 20 as varchar) end as part,
+         count(*) as n from events group by 1""")
+def sql_destination_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir, "events")
+    out = sql.run_sql(spark, "SELECT event_id, user_id FROM events", destination=f"{fresh_database(spark, 'ranges')}.users",
+                      partition_column="user_id", partition_range=(20, 100, 20))
+    return out.rows.groupBy(F.col("partition_id").alias("part")).agg(F.count(F.lit(1)).alias("n"))

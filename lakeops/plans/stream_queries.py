@@ -153,6 +153,19 @@ def documents_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_ops.doc_delete(collection, gone).select("doc_id")
 
 
+@query("documents_stored", f"""
+  with d as ({DOCUMENTS_SQL}) select doc_id, case when segment = 'BUILDING' then 'built' else name end as name from d where segment is not null""")
+def documents_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored collection after replacing some documents and deleting others."""
+    collection = doc_ops.DocCollection(spark, scratch_dir(spark, "collection"), buckets=16)
+    collection.set(documents_of(table(spark, sf_dir, "customer")))
+    built = docs.doc_query(collection.read(), [("segment", "EQUAL_TO", "BUILDING")])
+    collection.set(built.select("doc_id", F.lit('{"name":"built"}').alias("data")))
+    bare = docs.doc_query(collection.read(), [("segment", "EQUAL_TO", None), ("name", "NOT_EQUAL_TO", "built")])
+    collection.delete(bare.select("doc_id"))
+    return collection.read().select("doc_id", docs.doc_field("name").alias("name"))
+
+
 # ---------------------------------------------------------------- watches
 
 @query("sql_watched", "select user_id, count(*) as n from events where event_type = 'error' group by 1 having count(*) > 5")

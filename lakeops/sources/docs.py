@@ -7,6 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators.skew import number_rows
+
 # Comparison operators of a document filter.
 OPERATORS = {
     "EQUAL_TO": lambda field, value: field == value,
@@ -17,6 +19,9 @@ OPERATORS = {
     "GREATER_THAN_OR_EQUAL_TO": lambda field, value: field >= value,
 }
 
+#: End of the last page that is read through the first rows of each task; pages beyond are found by row numbers.
+MAX_PAGE_END = 100_000
+
 
 def doc_get(docs: DataFrame, doc_id: str) -> DataFrame:
     return docs.where(F.col("doc_id") == doc_id)
@@ -65,6 +70,14 @@ def doc_query(docs: DataFrame, filters: list[tuple] = (), order_by: str | None =
             key.asc() if up else key.desc(), F.asc("doc_id") if up else F.desc("doc_id"))
     elif offset or limit is not None:
         found = found.orderBy("doc_id")
-    if offset:
-        found = found.offset(offset)
-    return found if limit is None else found.limit(limit)
+    if not offset:
+        return found if limit is None else found.limit(limit)
+    if limit is not None and offset + limit <= MAX_PAGE_END:
+        return found.offset(offset).limit(limit)
+    # a page far behind, or all that follows: rows get numbers in their tasks, none of which holds the whole
+    order = [key.alias("_key"), F.col("doc_id").alias("_id")] if order_by is not None else [F.col("doc_id").alias("_id")]
+    down = order_by is not None and not up
+    numbered = number_rows(found.select(F.struct(*[F.col(f"`{c}`") for c in found.columns]).alias("_row"), *order),
+                           [F.desc(c) if down else F.asc(c) for c in (["_key", "_id"] if order_by is not None else ["_id"])], "_n")
+    last = F.lit(True) if limit is None else F.col("_n") < offset + limit
+    return numbered.where((F.col("_n") >= offset) & last).orderBy("_n").select("_row.*")

@@ -321,22 +321,35 @@ def load_into(table, paths: str | list[str], fmt: str, schema: dict | T.StructTy
 # ---------------------------------------------------------------- external tables
 
 def create_external_table(spark: SparkSession, name: str, uris: str | list[str], fmt: str,
-                          schema: dict | T.StructType, *, csv: CsvOptions = CsvOptions(),
+                          schema: dict | T.StructType | None = None, *, csv: CsvOptions = CsvOptions(),
                           compression: str | None = None, ignore_unknown_values: bool = True,
-                          drop_bad_records: bool = False) -> None:
+                          drop_bad_records: bool = False, max_bad_records: int | None = None,
+                          autodetect: bool = False, sampling_ratio: float = 1.0) -> None:
     """A table over files that stay where they are.
 
     With a bad-record or unknown-value policy, or with several locations, the name becomes a
-    session view whose plan applies the policy; otherwise it is a catalog table.
+    session view whose plan applies the policy; otherwise it is a catalog table. ``max_bad_records`` is the
+    budget of each read: up to it, bad records are left out, beyond it, the read fails. It counts them over all files at the
+    time of the read. ``autodetect`` takes the schema from the files as they are now.
     """
     paths = check_uris(uris)
     fmt = fmt.lower()
     declared = to_struct_type(schema) if isinstance(schema, dict) else schema
-    policy = drop_bad_records or not ignore_unknown_values
+    if declared is None:
+        if not autodetect:
+            raise ValueError("give a schema or ask for autodetect")
+        declared = (detect_schema(spark, paths, fmt, csv, sampling_ratio) if fmt in ("csv", "json")
+                    else spark.read.format(fmt).load(paths).schema)
+    policy = drop_bad_records or not ignore_unknown_values or max_bad_records is not None
     if fmt in ("csv", "json") and policy:
         flagged = (read_csv_flagged(spark, paths, declared, csv, ignore_unknown_values)
                    if fmt == "csv" else read_json_flagged(spark, paths, declared, ignore_unknown_values))
-        if drop_bad_records:
+        if max_bad_records is not None:
+            # one figure of a scan of its own; bad rows are still there when it is looked at, so none can hide it
+            n_bad = flagged.agg(F.count_if("_bad")).scalar()
+            beyond = F.raise_error(F.concat(F.lit(f"more than {max_bad_records} bad records: "), n_bad.cast("string")))
+            rows = flagged.where(F.when(n_bad <= max_bad_records, ~F.col("_bad")).otherwise(beyond.cast("boolean")))
+        elif drop_bad_records:
             rows = flagged.where(~F.col("_bad"))
         else:
             refuse = F.raise_error(F.concat(F.lit("bad record: "), F.coalesce(RAW, F.lit(""))))
