@@ -78,3 +78,56 @@ def relaxed(schema: T.StructType) -> T.StructType:
         return data_type
     return T.StructType([
         T.StructField(f.name, loosen(f.dataType), True, f.metadata) for f in schema.fields])
+
+
+def required_paths(schema: T.StructType, parent: str = "") -> list[str]:
+    """Names of REQUIRED fields at any depth: ``s.a`` in a struct, ``items[].a`` in the structs of an array."""
+    found = []
+    for field in schema.fields:
+        path = f"{parent}{field.name}"
+        found += [] if field.nullable else [path]
+        kind, mark = field.dataType, "."
+        if isinstance(kind, T.ArrayType):
+            kind, mark = kind.elementType, "[]."
+        if isinstance(kind, T.StructType):
+            found += required_paths(kind, path + mark)
+    return found
+
+
+def lacks(path: str, of: Column | None = None) -> Column:
+    """True where a field of ``required_paths`` is null; a struct that is null itself lacks nothing."""
+    name, _, rest = path.partition(".")
+    column = F.col(f"`{name.removesuffix('[]')}`") if of is None else of.getField(name.removesuffix("[]"))
+    if not rest:
+        return column.isNull()
+    if name.endswith("[]"):
+        return F.coalesce(F.exists(column, lambda e: e.isNotNull() & lacks(rest, e)), F.lit(False))
+    return column.isNotNull() & lacks(rest, column)
+
+
+def merged(old: T.DataType, new: T.DataType, path: str, added: list[str]) -> T.DataType:
+    """``old`` with the fields that only ``new`` has, at any depth, behind its own; their names go to ``added``."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        theirs = {f.name: f for f in new.fields}
+        fields = [T.StructField(f.name, merged(f.dataType, theirs[f.name].dataType, f"{path}.{f.name}", added) if f.name in theirs else f.dataType,
+                                True, f.metadata) for f in old.fields]
+        more = [f for f in new.fields if f.name not in old.fieldNames()]
+        added += [f"{path}.{f.name}" for f in more]
+        return T.StructType([*fields, *relaxed(T.StructType(more)).fields])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(merged(old.elementType, new.elementType, path, added), True)
+    return old
+
+
+def reshaped(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value in the fields and order of ``want``; missing fields are null."""
+    if have == want:
+        return column
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        kinds = {f.name: f.dataType for f in have.fields}
+        fields = [(reshaped(column.getField(f.name), kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+                  for f in want.fields]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(column, lambda e: reshaped(e, have.elementType, want.elementType))
+    return column.cast(want)

@@ -7,8 +7,9 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeops.functions.schema import relaxed, to_struct_type
+from lakeops.functions.schema import lacks, merged, relaxed, required_paths, reshaped, to_struct_type
 from lakeops.operators.partitions import PARTITION, drop_partitions, list_partitions
 from lakeops.operators.skew import cluster_evenly
 from lakeops.session import materialise
@@ -102,7 +103,7 @@ def _fit_schema(spark: SparkSession, df: DataFrame, name: str, schema_update) ->
     table = spark.table(name)
     added = [f for f in df.schema.fields if f.name not in table.columns]
     absent = [f for f in table.schema.fields if f.name not in df.columns]
-    required = set(filter(None, (table_property(spark, name, REQUIRED) or "").split(",")))
+    required = [path for path in (table_property(spark, name, REQUIRED) or "").split(",") if path]
     if added:
         if "ALLOW_FIELD_ADDITION" not in schema_update:
             raise ValueError(f"{name} has no fields {[f.name for f in added]}")
@@ -110,16 +111,45 @@ def _fit_schema(spark: SparkSession, df: DataFrame, name: str, schema_update) ->
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
     for f in absent:
         df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-    if required and "ALLOW_FIELD_RELAXATION" in schema_update:
-        missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in sorted(required & set(df.columns))]).first()
-        left = sorted(c for c in required if not missing[c])
+    df = _fit_nested(spark, df, name, table.schema, schema_update)
+    if not required:
+        return df
+    if "ALLOW_FIELD_RELAXATION" in schema_update:
+        missing = df.agg(*[F.count_if(lacks(path)).alias(f"_{i}") for i, path in enumerate(required)]).first()
+        left = [path for i, path in enumerate(required) if not missing[f"_{i}"]]
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{REQUIRED}' = '{','.join(left)}')" if left
                   else f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{REQUIRED}')")
-    elif required:
-        for column in sorted(required & set(df.columns)):
-            df = df.withColumn(column, F.when(F.col(column).isNotNull(), F.col(column)).otherwise(
-                F.raise_error(F.lit(f"{column} is required")).cast(df.schema[column].dataType)))
-    return df
+        return df
+    good = F.lit(True)
+    for path in required:
+        good = F.when(lacks(path), F.raise_error(F.lit(f"{path} is required")).cast("boolean")).otherwise(good)
+    return df.where(good)
+
+
+def _fit_nested(spark: SparkSession, df: DataFrame, name: str, schema: T.StructType, schema_update) -> DataFrame:
+    """Rows in the table's nested shape; fields that only the rows have are added where that is allowed.
+
+    Files stay as they are: a reader finds null where an older file lacks a field.
+    """
+    added: list[str] = []
+    kinds = {f.name: merged(f.dataType, df.schema[f.name].dataType, f.name, added) for f in schema.fields if _nested(f.dataType)}
+    if added and "ALLOW_FIELD_ADDITION" not in schema_update:
+        raise ValueError(f"{name} has no fields {added}")
+    if added:
+        parts = [f.name for f in spark.table(name).schema.fields if f.name == PARTITION]
+        wanted = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType), True, f.metadata)
+                               for f in spark.table(name).schema.fields if f.name not in parts])
+        # SQL can add nested fields to newer catalogs only; this changes the definition alone
+        state = spark._jsparkSession.sessionState()
+        state.catalog().alterTableDataSchema(state.sqlParser().parseTableIdentifier(name),
+                                             spark._jvm.org.apache.spark.sql.types.DataType.fromJson(wanted.json()))
+        spark.catalog.refreshTable(name)
+    return df.select(*[reshaped(F.col(f"`{f.name}`"), f.dataType, kinds[f.name]).alias(f.name) if f.name in kinds else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
+def _nested(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StructType) or isinstance(kind, T.ArrayType) and _nested(kind.elementType)
 
 
 def create_table(spark: SparkSession, name: str, definition: dict) -> None:
@@ -129,7 +159,7 @@ def create_table(spark: SparkSession, name: str, definition: dict) -> None:
     schema = to_struct_type(definition["schema"])
     columns = relaxed(schema).toDDL()
     properties = {f"label.{k}": v for k, v in definition.get("labels", {}).items()}
-    required = [f.name for f in schema.fields if not f.nullable]
+    required = required_paths(schema)
     for key, value in ((REQUIRED, ",".join(required)), (EXPIRES, definition.get("expires_ms")),
                        (PARTITION_TTL, definition.get("partition_ttl_ms")),
                        (CLUSTERING, ",".join(definition.get("clustering", [])))):

@@ -13,14 +13,15 @@ from lakeops.operators.tables import (check_table_name, copy_tables, create_tabl
 from lakeops.operators.views import FileFunction, MaterializedView, create_view
 from lakeops.session import fresh_database
 
+# five moments a step apart around the leap day of 2016, the bounds being the second and the fourth
+MIDDLE = dt.datetime(2016, 2, 29, 21, 17)
 DATES = {
-    "HOUR": [dt.datetime(2020, 4, 1, h, 30) for h in range(12, 17)],
-    "DAY": [dt.datetime(2020, 4, d, 12, 30, 0, 450000) for d in range(1, 6)],
-    "MONTH": [dt.datetime(2020, m, d) for m, d in ((1, 1), (2, 2), (3, 3), (4, 1), (5, 5))],
-    "YEAR": [dt.datetime(y, m, m) for y, m in ((2020, 1), (2021, 2), (2022, 3), (2023, 4), (2024, 5))]}
-BOUNDS = {"HOUR": ("2020-04-01T13:00:00", "2020-04-01T15:00:00"), "DAY": ("2020-04-02T00:00:00", "2020-04-04T00:00:00"),
-          "MONTH": ("2020-02-01T00:00:00", "2020-04-04T00:00:00"), "YEAR": ("2021-01-01T00:00:00", "2023-01-01T00:00:00"),
-          "RANGE": ("2", "4")}
+    "HOUR": [MIDDLE + dt.timedelta(hours=i) for i in range(-2, 3)],
+    "DAY": [MIDDLE + dt.timedelta(days=i) for i in range(-2, 3)],
+    "MONTH": [dt.datetime(2015 + m // 12, m % 12 + 1, 28) for m in range(10, 15)],
+    "YEAR": [MIDDLE.replace(year=2016 + 4 * i) for i in range(-2, 3)]}
+FLOOR = {"HOUR": "%Y-%m-%dT%H:00:00", "DAY": "%Y-%m-%dT00:00:00", "MONTH": "%Y-%m-01T00:00:00", "YEAR": "%Y-01-01T00:00:00"}
+BOUNDS = {kind: (DATES[kind][1].strftime(f), DATES[kind][3].strftime(f)) for kind, f in FLOOR.items()} | {"RANGE": ("2", "4")}
 
 
 @pytest.fixture
@@ -74,7 +75,7 @@ def test_dispositions(spark, database):
 
 def test_append_with_added_field_in_a_partitioned_table(spark, database):
     name = f"{database}.t"
-    rows = spark.range(25).select("id", F.lit("20200101").alias(parts.PARTITION))
+    rows = spark.range(25).select("id", F.lit("20160229").alias(parts.PARTITION))
     write_table(rows, name, partitioned=True, cluster_by=["id"])
     write_table(rows.withColumn("counter", F.col("id") * 2), name, partitioned=True,
                 schema_update=["ALLOW_FIELD_ADDITION"])
@@ -113,9 +114,9 @@ def test_clustered_files_do_not_overlap(spark, database, folder):
 def test_metadata_of_defined_table(spark, database):
     name = f"{database}.t"
     create_table(spark, name, {
-        "schema": {"fields": [{"name": "product", "type": "STRING"}, {"name": "quantity", "type": "INT64"},
-                              {"name": "date", "type": "TIMESTAMP"}]},
-        "partitioned": True, "clustering": ["quantity"], "labels": {"env": "dev"}, "description": "it's stock",
+        "schema": {"fields": [{"name": "bird", "type": "STRING"}, {"name": "wingspan", "type": "INT64"},
+                              {"name": "seen", "type": "TIMESTAMP"}]},
+        "partitioned": True, "clustering": ["wingspan"], "labels": {"env": "dev"}, "description": "it's stock",
         "expires_ms": 99})
     row = table_metadata(spark, name).first()
     assert row["partitioned"] and row["num_rows"] == 0 and row["description"] == "it's stock"
@@ -131,9 +132,9 @@ def test_metadata_of_defined_table(spark, database):
 def test_expired_partitions(spark, database):
     name = f"{database}.t"
     write_table(transactions(spark, "DAY"), name, partitioned=True)
-    now = int(dt.datetime(2020, 4, 4, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    now = int(dt.datetime(2016, 3, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
     assert expire(spark, database, now, default_ttl_ms=86_400_000)["partitions"] == [
-        f"{name}$20200401", f"{name}$20200402"]
+        f"{name}$20160227", f"{name}$20160228"]
 
 
 def test_copies(spark, database):
@@ -146,11 +147,11 @@ def test_copies(spark, database):
 
 
 def test_extracted_csv_text(spark, folder):
-    one = spark.sql("select 'top load washer' as product, 10L as quantity")
+    one = spark.sql("select 'grey heron' as bird, 185L as wingspan")
     counts = extract(one, f"{folder}/out/*", "csv").first()
     (path,) = glob.glob(f"{folder}/out/part-*.csv")
-    assert open(path).read() == "product,quantity\ntop load washer,10\n"
-    assert counts["files"] == 1 and counts["bytes"] == 36
+    assert open(path).read() == "bird,wingspan\ngrey heron,185\n"
+    assert counts["files"] == 1 and counts["bytes"] == 29
     with pytest.raises(RuntimeError, match="spark-avro"):
         extract(one, f"{folder}/avro", "avro")
 
@@ -194,3 +195,32 @@ def test_lifecycle_precedence(spark):
     assert [(r["due"], r["target_class"]) for r in got] == [("DELETE", None), ("SET_STORAGE_CLASS", "ARCHIVE"), (None, None)]
     with pytest.raises(ValueError):
         LifecycleRule(1, "SET_STORAGE_CLASS", "LUKEWARM")
+
+
+def test_nested_fields_are_added_and_relaxed(spark, database):
+    """In a struct, in an array of structs, and one level deeper; rows written before read as null there."""
+    name = f"{database}.nested"
+    inner = [{"name": "a", "type": "INT64", "mode": "REQUIRED"}, {"name": "deep", "type": "RECORD", "fields": [{"name": "x", "type": "INT64"}]}]
+    create_table(spark, name, {"schema": {"fields": [
+        {"name": "id", "type": "INT64"}, {"name": "s", "type": "RECORD", "fields": inner},
+        {"name": "items", "type": "RECORD", "mode": "REPEATED", "fields": inner}]}})
+    assert table_property(spark, name, "lakeops.required") == "s.a,items[].a"
+    old = "named_struct('a', id, 'deep', named_struct('x', id))"
+    write_table(spark.range(2).selectExpr("id", f"{old} as s", f"array({old}) as items"), name)
+    lacking = spark.range(2, 3).selectExpr("id", "named_struct('deep', named_struct('x', id), 'a', cast(null as bigint)) as s", f"array({old}) as items")
+    with pytest.raises(Exception, match="s.a is required"):
+        write_table(lacking, name)
+    with pytest.raises(ValueError, match="s.deep.y"):
+        write_table(spark.range(1).selectExpr("id", "named_struct('deep', named_struct('y', 'new')) as s"), name)
+    assert spark.table(name).count() == 2
+    new = "named_struct('deep', named_struct('y', concat('n', id), 'x', id), 'b', true, 'a', id)"
+    write_table(spark.range(3, 4).selectExpr("id", f"{new} as s", f"array({new}, null) as items"), name, schema_update=["ALLOW_FIELD_ADDITION"])
+    assert spark.table(name).schema["s"].dataType.simpleString() == "struct<a:bigint,deep:struct<x:bigint,y:string>,b:boolean>"
+    rows = {r["id"]: r for r in spark.table(name).collect()}
+    assert rows[0]["s"].asDict(True) == {"a": 0, "deep": {"x": 0, "y": None}, "b": None} == rows[0]["items"][0].asDict(True)
+    assert rows[3]["s"].asDict(True) == {"a": 3, "deep": {"x": 3, "y": "n3"}, "b": True}
+    assert rows[3]["items"][0].asDict(True) == {"a": 3, "deep": {"x": 3, "y": "n3"}, "b": True} and rows[3]["items"][1] is None
+    write_table(lacking, name, schema_update=["ALLOW_FIELD_RELAXATION"])
+    assert table_property(spark, name, "lakeops.required") == "items[].a"
+    write_table(lacking.withColumn("id", F.lit(9)), name)
+    assert spark.table(name).where("s.a is null").count() == 2

@@ -10,21 +10,15 @@ from lakeops.functions.labels import clean_label, readable_size
 from lakeops.functions.schema import missing_required, to_struct_type
 from lakeops.functions.values import encode_rows, normalise, range_bounds
 
-MATRIX = {"fields": [
-    {"name": "string", "type": "STRING"}, {"name": "nullable", "type": "INT64"},
-    {"name": "bool", "type": "BOOL"}, {"name": "float", "type": "FLOAT64"},
-    {"name": "bignumeric", "type": "BIGNUMERIC"}, {"name": "date", "type": "DATE"},
-    {"name": "datetime", "type": "DATETIME"}, {"name": "time", "type": "TIME"},
-    {"name": "timestamp", "type": "TIMESTAMP"}, {"name": "geopoint", "type": "GEOGRAPHY"},
-    {"name": "array", "type": "INT64", "mode": "REPEATED"},
-    {"name": "struct", "type": "RECORD", "fields": [
-        {"name": "v", "type": "STRING"}, {"name": "x", "type": "INT64"},
-        {"name": "z", "type": "INT64", "mode": "REPEATED"}]},
-    {"name": "range", "type": "RANGE"}, {"name": "json", "type": "JSON"}]}
-MOMENT = dt.datetime(2008, 12, 25, 15, 30, 0, 123456)
-ROW = ("hello", None, True, 1.25, decimal.Decimal("1.25"), dt.date(2008, 12, 25), MOMENT,
-       "15:30:00.123456", MOMENT, "POINT(-50.6833 2.9e0)", [1, 2, 3], (None, 4, [1, 2, 3]),
-       "[2022-12-01, 2022-12-31)", '{"name":"Alice","age":30}')
+KINDS = {"word": "STRING", "hole": "INT64", "flag": "BOOL", "ratio": "FLOAT64", "exact": "BIGNUMERIC", "day": "DATE",
+         "civil": "DATETIME", "clock": "TIME", "instant": "TIMESTAMP", "place": "GEOGRAPHY", "span": "RANGE", "extra": "JSON"}
+NESTED = [{"name": "counts", "type": "INT64", "mode": "REPEATED"},
+          {"name": "parts", "type": "RECORD", "fields": [
+              {"name": "label", "type": "STRING"}, {"name": "size", "type": "INT64"}, {"name": "marks", "type": "INT64", "mode": "REPEATED"}]}]
+MATRIX = {"fields": [{"name": n, "type": k} for n, k in KINDS.items()] + NESTED}
+MOMENT = dt.datetime(1999, 7, 4, 3, 21, 59, 654321)
+ROW = ("żółw", None, False, -0.375, decimal.Decimal("-7.5"), MOMENT.date(), MOMENT, MOMENT.time().isoformat(), MOMENT,
+       "POINT(12.5 -7e-1)", "[2031-05-06, 2031-06-07)", '{"z":[true],"a":"b"}', [9, 8], ("part", None, [7]))
 
 
 @pytest.fixture(scope="module")
@@ -49,13 +43,13 @@ def test_required_is_checked_at_any_depth(spark):
 
 def test_normalised_matrix(matrix):
     row = normalise(matrix, json_as="string").first()
-    assert row["datetime"] == "2008-12-25T15:30:00.123456Z"
-    assert row["geopoint"] == [-50.6833, 2.9]
-    assert row["bignumeric"] == decimal.Decimal("1.25")
-    assert row["struct"].asDict() == {"v": None, "x": 4, "z": [1, 2, 3]}
-    assert row["range"].asDict() == {"start": dt.datetime(2022, 12, 1), "end": dt.datetime(2022, 12, 31)}
-    assert row["json"] == '{"age":30,"name":"Alice"}'
-    assert row["nullable"] is None and row["date"] == dt.date(2008, 12, 25)
+    assert row["civil"] == MOMENT.isoformat() + "Z"
+    assert row["place"] == [12.5, -0.7]
+    assert row["exact"] == decimal.Decimal("-7.5")
+    assert row["parts"].asDict() == {"label": "part", "size": None, "marks": [7]} and row["counts"] == [9, 8]
+    assert row["span"].asDict() == {"start": dt.datetime(2031, 5, 6), "end": dt.datetime(2031, 6, 7)}
+    assert row["extra"] == '{"a":"b","z":[true]}'
+    assert row["hole"] is None and row["day"] == MOMENT.date() and row["word"] == "żółw"
 
 
 def test_bad_point_raises(spark):
@@ -75,11 +69,13 @@ def test_interval_text(spark, interval, text):
 
 def test_encoded_matrix(matrix):
     row = encode_rows(matrix).first()
-    seconds = (2008 << 26) | (12 << 22) | (25 << 17) | (15 << 12) | (30 << 6)
-    assert row["datetime"] == (seconds << 20) | 123456
-    assert row["time"] == (((15 << 12) | (30 << 6)) << 20) | 123456
-    assert row["date"] == 14238 and row["timestamp"] == 1230219000123456
-    assert encode_rows(matrix, compat_millis=True).first()["timestamp"] == 1230219000123000
+    time = (MOMENT.hour << 12) | (MOMENT.minute << 6) | MOMENT.second
+    date = (MOMENT.year << 26) | (MOMENT.month << 22) | (MOMENT.day << 17)
+    assert row["civil"] == ((date | time) << 20) | MOMENT.microsecond
+    assert row["clock"] == (time << 20) | MOMENT.microsecond
+    micros = (MOMENT - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    assert row["day"] == micros // 86_400_000_000 and row["instant"] == micros
+    assert encode_rows(matrix, compat_millis=True).first()["instant"] == micros // 1000 * 1000
 
 
 def test_crc32c_against_byte_by_byte():
@@ -110,12 +106,13 @@ def test_labels_and_sizes(spark):
 
 
 @pytest.mark.parametrize("kind, ids, low, high, kept", [
-    ("HOUR", [f"20200401{h}" for h in range(12, 17)], "2020-04-01T13:00:00", "2020-04-01T15:00:00", 3),
-    ("DAY", [f"2020040{d}" for d in range(1, 6)], "2020-04-02T00:00:00", "2020-04-04T00:00:00", 3),
-    ("MONTH", [f"20200{m}" for m in range(1, 6)], "2020-02-01T00:00:00", "2020-04-04T00:00:00", 3),
-    ("YEAR", [f"202{y}" for y in range(0, 5)], "2021-01-01T00:00:00", "2023-01-01T00:00:00", 3),
-    ("YEAR", ["2021"], "2021-01-01T00:00", "2023-01-01T00:00:00.000000+02:00", 1),
-    ("RANGE", [str(i) for i in range(1, 6)], "2", "4", 3)])
+    # over a leap day, a turn of the year and a turn of the century
+    ("HOUR", ["2016022822", "2016022823", "2016022900", "2016022901"], "2016-02-28T23:00:00", "2016-02-29T00:00:00", 2),
+    ("DAY", ["20160227", "20160228", "20160229", "20160301", "20160302"], "2016-02-28T00:00:00", "2016-03-01T00:00:00", 3),
+    ("MONTH", ["201511", "201512", "201601", "201602"], "2015-12-01T00:00:00", "2016-01-31T00:00:00", 2),
+    ("YEAR", ["1998", "1999", "2000", "2001"], "1999-01-01T00:00:00", "2000-01-01T00:00:00", 2),
+    ("YEAR", ["1999"], "1999-01-01T00:00", "2000-06-30T00:00:00.000000+02:00", 1),
+    ("RANGE", [str(i) for i in range(0, 60, 10)], "10", "40", 4)])
 def test_partition_ranges(spark, kind, ids, low, high, kept):
     rows = spark.createDataFrame([(i,) for i in [*ids, "__NULL__", "__UNPARTITIONED__"]], "p string")
     assert rows.where(partition_ids.within(F.col("p"), kind, low, high)).count() == kept
