@@ -295,7 +295,7 @@ def _listing_and_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 
 
 NEWEST_SQL = f"""
-  o as ({OBJECTS_SQL}), v as (select uri, 'generation:' || max(generation) || '_metageneration:1' as version from o group by uri)"""
+  o as ({OBJECTS_SQL}), v as (select uri, max(generation) || '/1' as version from o group by uri)"""
 
 
 @query("objects_changed", f"""

@@ -19,9 +19,8 @@ STREAM_NAME = r"^[a-zA-Z0-9_]+$"
 
 
 def version_text(generation: Column, metageneration: Column) -> Column:
-    """The version of an object: both counters, missing ones as 0."""
-    return F.concat(F.lit("generation:"), F.coalesce(generation, F.lit(0)).cast("string"),
-                    F.lit("_metageneration:"), F.coalesce(metageneration, F.lit(0)).cast("string"))
+    """The version of an object as ``generation/metageneration``, missing ones as 0."""
+    return F.concat_ws("/", F.coalesce(generation, F.lit(0)).cast("string"), F.coalesce(metageneration, F.lit(0)).cast("string"))
 
 
 def newest_versions(listing: DataFrame) -> DataFrame:
@@ -91,7 +90,7 @@ def _object_versions(on: str, ttl_ms: int | None) -> StatefulProcessor:
             if on in (change, "CREATE_OR_UPDATE"):
                 yield pd.DataFrame({
                     "uri": [key[0]], "change": [change],
-                    "version": [f"generation:{newest[0]}_metageneration:{newest[1]}"]})
+                    "version": [f"{newest[0]}/{newest[1]}"]})
 
         def close(self) -> None:
             pass

@@ -191,9 +191,9 @@ def test_object_changes_over_polls(spark):
     state = spark.createDataFrame([], "uri string, version string, seen_ms bigint")
     v1 = spark.createDataFrame([("a", 1, 1), ("b", 1, None), ("a", 2, 1)], LISTING)
     changed, state = changes.detect_changes(v1, state, now_ms=10, max_files=1)
-    assert [tuple(r) for r in changed.collect()] == [("a", "generation:2_metageneration:1", "CREATE")]
+    assert [tuple(r) for r in changed.collect()] == [("a", "2/1", "CREATE")]
     changed, state = changes.detect_changes(v1, state, now_ms=20, max_files=1)
-    assert [tuple(r) for r in changed.collect()] == [("b", "generation:1_metageneration:0", "CREATE")]
+    assert [tuple(r) for r in changed.collect()] == [("b", "1/0", "CREATE")]
     v2 = spark.createDataFrame([("a", 2, 5), ("b", 1, 0), ("c", 9, 9)], LISTING)
     assert {r["uri"] for r in changes.detect_changes(v2, state, "UPDATE", now_ms=30)[0].collect()} == {"a"}
     assert {r["uri"] for r in changes.detect_changes(v2, state, "CREATE", now_ms=30)[0].collect()} == {"c"}
