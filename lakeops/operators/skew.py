@@ -130,7 +130,7 @@ def rank_evenly(df: DataFrame, columns: list[str]) -> DataFrame:
                   .sortWithinPartitions(*columns))
 
 
-def cluster_evenly(df: DataFrame, columns: list[str], within: list[str] = (), bits: int = 8) -> DataFrame:
+def cluster_evenly(df: DataFrame, columns: list[str], within: list[str] = (), bits: int = 4) -> DataFrame:
     """Range-partition so that a filter on any one of ``columns`` reads a small part of the files.
 
     Each column's values get ranks of ``bits`` bits from its quantiles, which one aggregate sketches for all columns, and
@@ -143,14 +143,13 @@ def cluster_evenly(df: DataFrame, columns: list[str], within: list[str] = (), bi
     salted = materialise(df.withColumn("_salt", F.monotonically_increasing_id()), "salted")
     numbers = {c: _ordered_number(salted, c) for c in columns}
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = salted.agg(*[F.percentile_approx(n, steps, 20_000).alias(f"_q{i}") for i, n in enumerate(numbers.values())]).first()
-    ranked = salted.select("*", *[_rank(n, sorted(set(cuts[f"_q{i}"] or []))).alias(f"_r{i}") for i, n in enumerate(numbers.values())])
+    cuts = salted.agg(*[F.percentile_approx(n, steps, 1_000).alias(f"_q{i}") for i, n in enumerate(numbers.values())]).first()
     key = F.lit(0).cast("bigint")
-    for i in range(len(columns)):
-        for bit in range(bits):
-            place = bit * len(columns) + len(columns) - 1 - i
-            key = key.bitwiseOR(F.shiftleft(F.shiftright(f"_r{i}", bit).bitwiseAND(F.lit(1)).cast("bigint"), place))
-    placed = ranked.withColumn("_key", key).drop(*[f"_r{i}" for i in range(len(columns))])
+    for i, number in enumerate(numbers.values()):
+        # a rank's bits, spread to the places that the column has in the key
+        spread = [sum((rank >> bit & 1) << (bit * len(columns) + len(columns) - 1 - i) for bit in range(bits)) for rank in range(1 << bits)]
+        key = key.bitwiseOR(_rank(number, sorted(set(cuts[f"_q{i}"] or [])), spread))
+    placed = salted.withColumn("_key", key)
     order = [*[F.col(c) for c in within], F.col("_key")]
     return (placed.repartitionByRange(*order, F.xxhash64("_salt")).sortWithinPartitions(*order, *columns).drop("_salt", "_key"))
 
@@ -167,12 +166,12 @@ def _ordered_number(df: DataFrame, name: str) -> Column:
     return column.cast("double") if isinstance(kind, (T.FractionalType, T.DecimalType)) else column.cast("bigint")
 
 
-def _rank(number: Column, cuts: list) -> Column:
-    """How many cuts are below a value, found by halving; null comes first."""
+def _rank(number: Column, cuts: list, values: list[int]) -> Column:
+    """``values`` by how many cuts are below a number, found by halving; null comes first."""
     def find(low: int, high: int) -> Column:
         if low == high:
-            return F.lit(low)
+            return F.lit(values[low]).cast("bigint")
         middle = (low + high) // 2
         return F.when(number > F.lit(cuts[middle]), find(middle + 1, high)).otherwise(find(low, middle))
 
-    return F.when(number.isNull(), 0).otherwise(find(0, len(cuts)))
+    return F.when(number.isNull(), F.lit(values[0]).cast("bigint")).otherwise(find(0, len(cuts)))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakeops.functions.schema import lacks, merged, relaxed, required_paths, reshaped, to_struct_type
 from lakeops.operators.partitions import PARTITION, drop_partitions, list_partitions
-from lakeops.operators.skew import cluster_evenly
+from lakeops.operators.skew import cluster_evenly, rank_evenly
 from lakeops.session import materialise
 
 # Write and create dispositions, and allowed schema updates.
@@ -39,12 +39,13 @@ def table_property(spark: SparkSession, name: str, key: str) -> str | None:
 
 def write_table(df: DataFrame, name: str, *, write: str = "WRITE_APPEND",
                 create: str = "CREATE_IF_NEEDED", partitioned: bool = False,
-                cluster_by: list[str] = (), schema_update: list[str] = ()) -> None:
+                cluster_by: list[str] = (), schema_update: list[str] = (), interleave: bool = False) -> None:
     """Write rows to a catalog table.
 
     Partitioned output is rebalanced by partition id: the adaptive planner splits ids that
     hold much data and merges small ones, so a single large partition is written by many
-    tasks. Clustered output is range-partitioned and sorted instead.
+    tasks. Clustered output is range-partitioned and sorted instead, by the columns in their order, or, with
+    ``interleave``, so that a filter on any one of them alone reads a small part of the files.
     """
     spark = df.sparkSession
     check_table_name(name)
@@ -68,7 +69,8 @@ def write_table(df: DataFrame, name: str, *, write: str = "WRITE_APPEND",
         # written down first: a failing row leaves the table as it was, and rows may come from it
         df = materialise(df, "truncate")
     if cluster_by:
-        df = cluster_evenly(df, list(cluster_by), [PARTITION] if partitioned else [])
+        before = [PARTITION] if partitioned else []
+        df = cluster_evenly(df, list(cluster_by), before) if interleave else rank_evenly(df, [*before, *cluster_by])
     elif partitioned:
         df = df.hint("rebalance", PARTITION)
     if not exists:

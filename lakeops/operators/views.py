@@ -40,7 +40,8 @@ def create_view(spark: SparkSession, name: str, query: str, functions: list = ()
             import importlib
             spark.sparkContext.addPyFile(function.uri)
             module = importlib.import_module(function.module)
-            spark.udf.register(function.name, getattr(module, function.name))
+            # batches of rows travel as Arrow; the function itself stays one of single values
+            spark.udf.register(function.name, F.udf(getattr(module, function.name), useArrow=True))
             temporary = True
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
     spark.sql(f"CREATE OR REPLACE {kind} {name} AS {query}")

@@ -62,6 +62,14 @@ def write_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@query("write_interleaved", "select * from orders")
+def write_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layout for filters on the customer, on the price or on the date alone."""
+    name = fresh_database(spark, "interleaved") + ".orders"
+    write_table(table(spark, sf_dir, "orders"), name, cluster_by=["o_custkey", "o_totalprice", "o_orderdate"], interleave=True)
+    return spark.table(name)
+
+
 def _extracted(df: DataFrame, fmt: str, **options) -> list[str]:
     base = scratch_dir(df.sparkSession, "extract")
     targets = [f"{base}/a-*", f"{base}/b-*"]
