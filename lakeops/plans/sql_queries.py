@@ -366,7 +366,7 @@ def safety_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("run_observed", """
-  select count(*) as rows, count(distinct cast(ts as date)) as partitions, count_if(value > 100) as dml_rows,
+  select count(*) as rows, count(distinct cast(ts as date)) as partitions, cast(count_if(value > 100) as bigint) as dml_rows,
          'purchases' as label, true as timed from events where event_type = 'purchase' and value > 50""")
 def run_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics that were gathered while the result was written."""
@@ -377,7 +377,7 @@ def run_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("sql_interval_join", """
-  select s.event_type as opened, e.event_type, count(*) as n, sum(e.event_id) as ids
+  select s.event_type as opened, e.event_type, count(*) as n, cast(sum(e.event_id) as bigint) as ids
   from (select *, ts + to_minutes(cast(floor(value) as bigint) + 1) as until from events where event_type in ('signup', 'error')) s
   join events e on e.ts >= s.ts and e.ts < s.until group by all""")
 def sql_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,7 +387,7 @@ def sql_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("opened"), F.col("ts").alias("since"), F.expr("ts + make_interval(0, 0, 0, 0, 0, cast(floor(value) as int) + 1)").alias("until"))
     points = events.select("event_type", "event_id", F.col("ts").alias("at"), F.expr("ts + interval 1 microsecond").alias("after"))
     return interval_join(opened, points, ("since", "until"), ("at", "after")).groupBy("left.opened", "right.event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("right.event_id").cast("decimal(38,0)").alias("ids"))
+        F.count(F.lit(1)).alias("n"), F.sum("right.event_id").alias("ids"))
 
 
 @query("sql_distinct_rolled_up", """
