@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.session import materialise, ship_package
+from lakeops.session import delete_path, materialise, ship_package
 
 #: Text handled at once inside a Python task; longer documents are handled alone.
 SLICE_BYTES = 4 << 20
@@ -86,6 +86,13 @@ def settle(df: DataFrame, label: str) -> DataFrame:
         conf.set(_CLEANUP, before)
 
 
+def discard(*written: DataFrame) -> None:
+    """Remove settled steps that nothing reads any more: all that came of them is written down too."""
+    for step in written:
+        for path in {file.rsplit("/", 1)[0] for file in step.inputFiles()}:
+            delete_path(step.sparkSession, path)
+
+
 def task_number() -> int:
     context = TaskContext.get()
     return context.partitionId() if context else 0
