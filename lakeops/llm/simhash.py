@@ -29,13 +29,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import column, map_batches, settle, slices, texts_as_bytes
+from lakeops.llm.common import column, discard, map_batches, settle, slices, texts_as_bytes
 from lakeops.llm.components import connected_components
 
 BITS = 64
 SEED = 42
-#: Texts with a shingle among their first beyond which it is common, and comes last in the order of prefixes.
-COMMON = 64
+#: Counters of shingles by hash; they only order shingles, so any number gives the same links.
+COUNTERS = 1 << 20
+#: Pairs of one hub that are compared together.
+BLOCK = 128
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -128,153 +130,170 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
                   .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), known))
 
 
-def passages(hashes: np.ndarray, length: int) -> list[np.ndarray]:
-    """Runs of shingles that begin where a hash is a multiple of ``length``, so that an edit changes only
-    the runs that it touches; and the whole text."""
-    cuts = np.flatnonzero(hashes % np.uint64(length) == 0)
-    parts = [p for p in np.split(hashes, cuts) if len(p)]
-    return [hashes] if len(parts) < 2 else [hashes, *parts]
+def passage_prints(hashes: np.ndarray, length: int) -> np.ndarray:
+    """The fingerprint of the whole text, and of each run of shingles that begins where a hash is a
+    multiple of ``length``, so that an edit changes only the runs that it touches."""
+    whole = [fingerprint(hashes)]
+    starts = np.flatnonzero(hashes % np.uint64(length) == 0)
+    if len(hashes) and (not len(starts) or starts[0]):
+        starts = np.concatenate([[0], starts])
+    if len(starts) < 2:
+        return np.array(whole, np.uint64)
+    stops = np.append(starts[1:], len(hashes))
+    found = [np.array(whole, np.uint64)]
+    for at in range(0, len(starts), 512):
+        begin, end = starts[at:at + 512], stops[at:at + 512]
+        block = hashes[begin[0]:end[-1]]
+        if len(block) > 1 << 18:  # long runs, one by one
+            found.append(np.array([fingerprint(hashes[b:e]) for b, e in zip(begin, end)], np.uint64))
+            continue
+        bits = np.unpackbits(block.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, begin - begin[0], axis=0, dtype=np.int32)
+        found.append(np.packbits(2 * ones > (end - begin)[:, None], axis=1, bitorder="little").view("<u8").ravel())
+    return np.concatenate(found)
+
+
+def _sketches(docs: DataFrame, shingle: int, length: int, masks: list[int]) -> DataFrame:
+    """doc_id, the sorted distinct shingle hashes of its text as bytes and their number, and a key of 64 bits
+    for each passage under each mask."""
+    kept = [np.uint64(m) for m in masks]
 
-
-def _passage_keys(docs: DataFrame, shingle: int, length: int, masks: list[int]) -> DataFrame:
-    """doc_id and, for each passage and mask, a key of 64 bits."""
     def compute(batches):
-        kept = [np.uint64(m) for m in masks]
         for batch in batches:
             for part in slices(batch):
-                rows, keys = [], []
-                for i, text in enumerate(texts_as_bytes(part)):
+                sets, sizes, keys, ends = [], [], [], [0]
+                for text in texts_as_bytes(part):
                     hashes = shingle_hashes(text.lower().split(), shingle)
-                    prints = np.array([fingerprint(p) for p in passages(hashes, length)], np.uint64)
-                    own = np.unique(np.concatenate([
-                        ((prints & m) ^ np.uint64(t + 1)) * np.uint64(0x9E3779B97F4A7C15) for t, m in enumerate(kept)]))
-                    rows += [i] * len(own)
-                    keys.append(own)
-                made = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays([column(part, "doc_id").take(pa.array(rows, pa.int64())), pa.array(made)],
-                                                 names=["doc_id", "key"])
+                    own = np.unique(hashes).astype("<u8")
+                    sets.append(own.tobytes())
+                    sizes.append(len(own))
+                    prints = passage_prints(hashes, length)
+                    keys.append(np.unique(np.concatenate([
+                        ((prints & m) ^ np.uint64(t + 1)) * np.uint64(0x9E3779B97F4A7C15) for t, m in enumerate(kept)])))
+                    ends.append(ends[-1] + len(keys[-1]))
+                yield pa.RecordBatch.from_arrays(
+                    [column(part, "doc_id"), pa.array(sizes, pa.int32()), pa.array(sets, pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))],
+                    names=["doc_id", "size", "set", "passages"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), f"doc_id {kind}, key bigint", compute)
+    return map_batches(docs.select("doc_id", "text"), f"doc_id {kind}, size int, set binary, passages array<bigint>", compute)
 
 
-def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and the sorted distinct shingle hashes of its text, as bytes."""
-    def compute(batches):
-        for batch in batches:
-            for part in slices(batch):
-                sets = [np.unique(shingle_hashes(t.lower().split(), shingle)).astype("<u8").tobytes()
-                        for t in texts_as_bytes(part)]
-                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "set"])
+def _hashes_of(stored: bytes) -> np.ndarray:
+    return np.frombuffer(stored, "<u8")
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), f"doc_id {kind}, set binary", compute)
 
+def common_to(left: np.ndarray, right: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct values share."""
+    if not len(left) or not len(right):
+        return 0
+    at = np.minimum(np.searchsorted(right, left), len(right) - 1)
+    return int((right[at] == left).sum())
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``doc_id``, ``hub`` whose sets have at least ``similarity`` of their union in common.
+
+    A set of each pair travels to its hub; those of a hub are dealt into blocks of about ``BLOCK``, and
+    the hub's own set goes once to each block.
+    """
+    counts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = settle(pairs.join(counts, "hub").select(
+        "hub", F.expr("pmod(xxhash64(doc_id), blocks)").cast("int").alias("block"), "doc_id"), "dealt_pairs")
+    sets = sketches.select("doc_id", "set")
+    members = dealt.join(sets, "doc_id").select("hub", "block", F.lit(1).alias("side"), "doc_id", "set")
+    hubs = (dealt.select("hub", "block").distinct().join(sets.withColumnRenamed("doc_id", "hub"), "hub")
+                 .select("hub", "block", F.lit(0).alias("side"), F.col("hub").alias("doc_id"), "set"))
 
-def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sets have at least ``similarity`` of their union in common."""
     def compare(batches):
+        own = np.empty(0, np.uint64)
         for batch in batches:
             kept = []
-            for left, right in zip(column(batch, "set").to_pylist(), column(batch, "other_set").to_pylist()):
-                a, b = np.frombuffer(left, "<u8"), np.frombuffer(right, "<u8")
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                kept.append(both >= similarity * (len(a) + len(b) - both))
-            yield batch.select(["doc_id", "other"]).filter(pa.array(kept, pa.bool_()))
+            for side, stored in zip(column(batch, "side").to_pylist(), column(batch, "set")):
+                hashes = _hashes_of(stored.as_buffer())
+                if side == 0:
+                    own = hashes.copy()
+                    kept.append(False)
+                    continue
+                both = common_to(hashes, own)
+                kept.append(both >= similarity * (len(hashes) + len(own) - both))
+            yield batch.select(["doc_id", "hub"]).filter(pa.array(kept, pa.bool_()))
 
     kind = pairs.schema["doc_id"].dataType.simpleString()
-    return map_batches(pairs, f"doc_id {kind}, other {kind}", compare)
+    gathered = hubs.union(members).repartition("hub", "block").sortWithinPartitions("hub", "block", "side")
+    links = settle(map_batches(gathered, f"doc_id {kind}, hub {kind}", compare), "near_links")
+    discard(dealt)
+    return links
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs ``doc_id``, ``other`` of ``docs`` that are similar, judged on their whole sets of shingles."""
-    wanted = pairs.select("doc_id").union(pairs.select("other")).distinct()
-    sets = settle(_shingle_sets(docs.join(wanted, "doc_id", "left_semi"), shingle)
-                  .dropDuplicates(["doc_id"]), "shingle_sets")
-    held = (pairs.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("other"), F.col("set").alias("other_set")), "other")
-                 .where("least(length(set), length(other_set)) >= greatest(length(set), length(other_set)) * "
-                        f"{similarity} - 1e-6"))
-    return settle(_alike(held.select("doc_id", "other", "set", "other_set"), similarity), "near_links")
+def _frequencies(sketches: DataFrame) -> np.ndarray:
+    """How many documents have a shingle of each of ``COUNTERS`` ranges of hashes; summed in Spark."""
+    def count(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            hashes = _hashes_of(b"".join(column(batch, "set").to_pylist()))
+            total += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        found = np.flatnonzero(total)
+        for at in range(0, len(found), 1 << 16):
+            some = found[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["counter", "n"])
 
+    sums = (map_batches(sketches.select("set"), "counter int, n bigint", count)
+            .groupBy("counter").agg(F.sum("n").alias("n")).toArrow())
+    counters = np.zeros(COUNTERS, np.uint32)
+    counters[sums["counter"].to_numpy()] = np.minimum(sums["n"].to_numpy(), (1 << 32) - 1)
+    return counters
 
-def _exploded(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and each distinct shingle hash of its text, as ``key``."""
-    def compute(batches):
-        for batch in batches:
-            for part in slices(batch):
-                sets = [np.unique(shingle_hashes(t.lower().split(), shingle)) for t in texts_as_bytes(part)]
-                rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                yield pa.RecordBatch.from_arrays(
-                    [column(part, "doc_id").take(pa.array(rows)), pa.array(np.concatenate(sets).view(np.int64))],
-                    names=["doc_id", "key"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), f"doc_id {kind}, key bigint", compute)
+def prefix(hashes: np.ndarray, counters: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of the distinct hashes, rare ones first: one more than a set may lose and still be similar.
 
+    Any one order of all hashes makes two similar sets meet in their prefixes; this one is by the
+    counter of a hash, then by the hash.
+    """
+    wanted = len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1
+    return hashes[np.lexsort((hashes, counters[hashes % np.uint64(len(counters))]))[:wanted]]
 
-def prefix(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
-    """The first of the sorted distinct hashes, those in ``common`` last and in its order: one more than
-    a set may lose and still be similar, so two similar sets meet in their prefixes."""
-    ordered = np.concatenate([hashes[~np.isin(hashes, common)], common]) if len(common) else hashes
-    return ordered[:len(ordered) - int(np.ceil(similarity * len(ordered) - 1e-9)) + 1]
 
+def _prefix_keys(sketches: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, number of shingles, and place and hash of those in its prefix."""
+    sent = sketches.sparkSession.sparkContext.broadcast(_frequencies(sketches))
 
-def _prefix_keys(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """doc_id, number of shingles, and place and hash of those in its prefix; ``common`` of ``docs`` may be null."""
     def compute(batches):
-        none = np.empty(0, np.uint64)
         for batch in batches:
-            for part in slices(batch):
-                rows, sizes, places, keys = [], [], [], [none]
-                for i, (text, common) in enumerate(zip(texts_as_bytes(part), column(part, "common"))):
-                    hashes = np.unique(shingle_hashes(text.lower().split(), shingle))
-                    last = common.values.to_numpy().view(np.uint64) if common.is_valid else none
-                    own = prefix(hashes, last, similarity)
-                    rows += [i] * len(own)
-                    sizes += [len(hashes)] * len(own)
-                    places += range(len(own))
-                    keys.append(own)
-                yield pa.RecordBatch.from_arrays(
-                    [column(part, "doc_id").take(pa.array(rows, pa.int64())), pa.array(sizes, pa.int32()),
-                     pa.array(places, pa.int32()), pa.array(np.concatenate(keys).view(np.int64))],
-                    names=["doc_id", "size", "place", "key"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text", "common"), f"doc_id {kind}, size int, place int, key bigint", compute)
+            keys = [np.empty(0, np.uint64)]
+            keys += [prefix(_hashes_of(stored.as_buffer()), sent.value, similarity) for stored in column(batch, "set")]
+            counts = np.array([len(k) for k in keys[1:]], np.int64)
+            rows = pa.array(np.repeat(np.arange(len(counts)), counts))
+            places = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            yield pa.RecordBatch.from_arrays(
+                [column(batch, "doc_id").take(rows), column(batch, "size").take(rows),
+                 pa.array(places.astype(np.int32)), pa.array(np.concatenate(keys).view(np.int64))],
+                names=["doc_id", "size", "place", "key"])
 
+    kind = sketches.schema["doc_id"].dataType.simpleString()
+    return map_batches(sketches.select("doc_id", "size", "set"), f"doc_id {kind}, size int, place int, key bigint", compute)
 
-def _prefix_buckets(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """doc_id, size, place and key of the shingles in prefixes that several documents have there.
 
-    One order of all shingles holds for every document, or similar ones would not meet: by hash, but
-    those that are common come last, by their number. Which are common is counted over the whole
-    texts of the documents in whose prefix a hash stands that is common there.
-    """
-    keys = settle(_prefix_keys(docs.withColumn("common", F.lit(None).cast("array<bigint>")), shingle, similarity), "prefix_keys")
-    often = settle(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON).select("key"), "often")
-    if often.head(1):
-        first = settle(keys.join(often, "key", "left_semi").select("doc_id").distinct(), "common_in")
-        common = settle(_exploded(docs.join(first, "doc_id", "left_semi"), shingle).groupBy("key")
-                        .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON), "common")
-        having = settle(keys.join(common, "key", "left_semi").select("doc_id").distinct(), "common_in")
-        shingles = settle(_exploded(docs.join(having, "doc_id", "left_semi"), shingle), "shingles")
-        lists = settle(
-            shingles.join(common, "key").groupBy("doc_id")
-                    .agg(F.sort_array(F.collect_set(F.struct("n", "key"))).alias("found"))
-                    .select("doc_id", F.transform("found", lambda x: x["key"]).alias("common")), "common_of")
-        again = _prefix_keys(docs.join(lists, "doc_id"), shingle, similarity)
-        keys = settle(keys.join(having, "doc_id", "left_anti").unionByName(again), "prefix_keys")
-    shared = (keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-                  .where("low != high").select("key"))
-    return settle(keys.join(settle(shared, "shared_keys"), "key", "left_semi"), "prefix_buckets")
+def _prefix_buckets(sketches: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, size, place and key of the shingles in prefixes that several documents have there."""
+    keys = settle(_prefix_keys(sketches, similarity), "prefix_keys")
+    shared = settle(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared_keys")
+    buckets = settle(keys.join(shared, "key", "left_semi"), "prefix_buckets")
+    discard(keys, shared)
+    return buckets
 
 
 def _unlinked(buckets: DataFrame, links: DataFrame) -> DataFrame:
     """The members, with their ``group``, of buckets that ``links`` do not connect."""
-    groups = connected_components(links, "doc_id", "other").select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
+    groups = connected_components(links, "doc_id", "hub").select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
     members = settle(buckets.join(groups, "doc_id", "left").withColumn("group", F.coalesce("group", "doc_id")), "members")
     apart = members.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high")
-    return settle(members.join(settle(apart.select("key"), "apart"), "key", "left_semi"), "unlinked")
+    apart = settle(apart.select("key"), "apart")
+    unlinked = settle(members.join(apart, "key", "left_semi"), "unlinked")
+    discard(members, apart)
+    return unlinked
 
 
 def _possible(similarity: float) -> Column:
@@ -285,29 +304,31 @@ def _possible(similarity: float) -> Column:
             & (shared >= (F.col("size") + F.col("o_size")) * (similarity / (1 + similarity)) - 1e-6))
 
 
-def _ordered_pairs(met: DataFrame) -> DataFrame:
-    return met.select(F.least("doc_id", "o_id").alias("doc_id"), F.greatest("doc_id", "o_id").alias("other")).distinct()
-
-
-def _remaining_links(docs: DataFrame, links: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links that, with ``links``, connect all that similar pairs of ``docs`` connect.
+def _remaining_links(sketches: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """Links that, with ``links``, connect all that similar pairs connect.
 
     Similar documents share a shingle of their prefixes. In each bucket, the members first meet the one
     with the fewest rarer shingles. Buckets that are connected after that need no more; in all others
     every two members that no links connect are compared, if their lengths and places allow it.
     """
-    buckets = _prefix_buckets(docs, shingle, similarity)
+    buckets = _prefix_buckets(sketches, similarity)
     members = _unlinked(buckets, links)
     hubs = settle(members.groupBy("key").agg(F.min(F.struct(
-        (F.col("place") / F.col("size")).alias("at"), F.col("doc_id").alias("o_id"), F.col("size").alias("o_size"),
-        F.col("place").alias("o_place"), F.col("group").alias("o_group"))).alias("hub")).select("key", "hub.*"), "hubs")
-    near = settle(_ordered_pairs(members.join(hubs, "key").where(_possible(similarity))), "near_pairs")
-    found = _verified(near, docs, shingle, similarity)
-    members = _unlinked(buckets, settle(links.union(found), "links_so_far"))
-    others = members.select("key", F.col("doc_id").alias("o_id"), F.col("size").alias("o_size"),
+        (F.col("place") / F.col("size")).alias("at"), F.col("doc_id").alias("hub"), F.col("size").alias("o_size"),
+        F.col("place").alias("o_place"), F.col("group").alias("o_group"))).alias("first")).select("key", "first.*"), "hubs")
+    near = settle(members.join(hubs, "key").where(_possible(similarity)).select("doc_id", "hub").distinct(), "near_pairs")
+    found = _verified(near, sketches, similarity)
+    discard(members, hubs)
+    members = _unlinked(buckets, links.union(found))
+    others = members.select("key", F.col("doc_id").alias("hub"), F.col("size").alias("o_size"),
                             F.col("place").alias("o_place"), F.col("group").alias("o_group"))
-    rest = _ordered_pairs(members.join(others.hint("merge"), "key").where(F.col("doc_id") < F.col("o_id")).where(_possible(similarity)))
-    return found.union(_verified(settle(rest.join(near, ["doc_id", "other"], "left_anti"), "rest_pairs"), docs, shingle, similarity))
+    met = near.union(near.select(F.col("hub").alias("doc_id"), F.col("doc_id").alias("hub")))
+    rest = settle(members.join(others.hint("merge"), "key").where(F.col("doc_id") < F.col("hub")).where(_possible(similarity))
+                         .select("doc_id", "hub").distinct().join(met, ["doc_id", "hub"], "left_anti"), "rest_pairs")
+    discard(buckets, members, near)
+    more = _verified(rest, sketches, similarity)
+    discard(rest)
+    return found.union(more)
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, length: int = 32,
@@ -319,25 +340,32 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     serve, so the texts' passages have fingerprints too: of the passages of two near-duplicates
     most are equal. Under each mask, documents with a passage in common are held against the first
     and the last of them, whatever their number, and every link is verified on the whole sets of
-    shingles. Equal texts count as one document first. Rows with a null doc_id stay; rows that
+    shingles. What that leaves apart meets in prefixes. Texts are hashed once, into ``sketches``, which
+    all steps read. Equal texts count as one document first. Rows with a null doc_id stay; rows that
     repeat a doc_id stand or fall together.
     """
     known = docs.where("doc_id is not null").select("doc_id", "text")
     same = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("same")
     hashed = settle(known.select("doc_id", same), "text_hashes")
-    firsts = hashed.groupBy("same").agg(F.min("doc_id").alias("first_id"))
-    copies = settle(hashed.join(settle(firsts, "first_texts"), "same").where("doc_id != first_id")
-                          .select("doc_id", F.col("first_id").alias("other")), "copies")
-    keys = settle(_passage_keys(known, shingle, length, covering_masks(radius))
-                  .join(copies.select("doc_id"), "doc_id", "left_anti"), "passage_keys")
-    ends = (keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low != high"))
-    pairs = settle(keys.join(ends, "key").select("doc_id", F.explode(F.array("low", "high")).alias("other"))
-                       .where("doc_id != other")
-                       .select(F.least("doc_id", "other").alias("doc_id"), F.greatest("doc_id", "other").alias("other"))
-                       .distinct(), "near_pairs")
-    links = settle(_verified(pairs, known, shingle, similarity).union(copies), "near_links")
-    texts = settle(known.join(copies.select("doc_id"), "doc_id", "left_anti").dropDuplicates(["doc_id"]), "texts")
-    links = links.union(_remaining_links(texts, links, shingle, similarity))
-    groups = connected_components(links, "doc_id", "other")
+    firsts = settle(hashed.groupBy("same").agg(F.min("doc_id").alias("first_id")), "first_texts")
+    copies = settle(hashed.join(firsts, "same").where("doc_id != first_id")
+                          .select("doc_id", F.col("first_id").alias("hub")), "copies")
+    repeated = hashed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1)
+    made = _sketches(known.join(copies.select("doc_id"), "doc_id", "left_anti"), shingle, length, covering_masks(radius))
+    sketches = settle(made.dropDuplicates(["doc_id"]) if repeated else made, "sketches")
+    discard(hashed, firsts)
+    keys = sketches.select("doc_id", "size", F.explode("passages").alias("key"))
+    ends = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low != high")
+    met = (keys.join(ends, "key").select("doc_id", "size", F.explode(F.array("low", "high")).alias("hub"))
+               .where("doc_id != hub").distinct())
+    sizes = sketches.select(F.col("doc_id").alias("hub"), F.col("size").alias("hub_size"))
+    pairs = settle(met.join(sizes, "hub")
+                      .where(F.least("size", "hub_size") >= F.greatest("size", "hub_size") * similarity - 1e-6)
+                      .select("doc_id", "hub"), "passage_pairs")
+    links = settle(_verified(pairs, sketches, similarity).union(copies), "links_so_far")
+    discard(pairs)
+    links = links.union(_remaining_links(sketches, links, similarity))
+    groups = connected_components(links, "doc_id", "hub")
     gone = settle(groups.where("node != component").select(F.col("node").alias("doc_id")), "near_duplicates")
+    discard(sketches, copies)
     return docs.join(gone, "doc_id", "left_anti")
