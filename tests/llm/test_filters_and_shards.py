@@ -5,6 +5,7 @@ import random
 import zlib
 
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from lakeops.llm import sharding, url_filters
 from lakeops.llm.queries import URL_RULES, op10_sharding
@@ -98,6 +99,8 @@ def test_shards_of_all_documents(spark):
     for r in rows:
         homes[docs[r["doc_id"]]].add(r["shard"])
     mean = sum(load.values()) / 40
+    largest = max(r["size"] for r in rows)
+    assert max(load.values()) - min(load.values()) <= max(largest, mean / 100)
     assert all(len(v) == 1 for t, v in homes.items() if len((t or "").encode()) < mean / 10)
 
 
@@ -109,3 +112,26 @@ def test_shards_of_odd_rows_and_a_group_larger_than_a_shard(spark, odd, none):
     many = spark.createDataFrame([(i, "copy" if i % 3 == 0 else f"text {i}") for i in range(3_000)], "doc_id bigint, text string")
     load = check_shards(sharding.shard(many, 10).collect(), 10)
     assert max(load.values()) < 1.1 * sum(load.values()) / 10
+
+
+def test_shards_of_equal_documents_and_of_three_sizes_are_level(spark):
+    equal = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lpad("id", 50, "0").alias("text"))
+    rows = sharding.shard(equal).collect()
+    assert set(Counter(r["shard"] for r in rows).values()) == {1_500} and set(check_shards(rows, 40).values()) == {99_000}
+    filler = F.expr("repeat('x', element_at(array(10, 100, 30000), cast(id % 3 as int) + 1))")
+    mixed = spark.range(4_000).select(F.col("id").alias("doc_id"), F.concat("id", filler).alias("text"))
+    load = check_shards(sharding.shard(mixed).collect(), 40)
+    assert max(load.values()) - min(load.values()) < 0.03 * sum(load.values()) / 40
+
+
+@given(st.lists(st.integers(1, 500), min_size=1, max_size=80), st.integers(1, 9))
+@settings(max_examples=100, deadline=None)
+def test_levelling_keeps_items_and_brings_shards_nearer(sizes, shards):
+    sizes.sort(reverse=True)
+    before = [i % shards for i in range(len(sizes))]
+    after = sharding.level(sizes, before, shards)
+
+    def spread(homes):
+        load = [sum(s for s, h in zip(sizes, homes) if h == n) for n in range(shards)]
+        return max(load) - min(load)
+    assert len(after) == len(sizes) and set(after) <= set(range(shards)) and spread(after) <= spread(before)
