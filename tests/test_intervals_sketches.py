@@ -48,6 +48,28 @@ def test_plan_has_no_nested_loop(spark):
     assert joined.count() == 100 + 2 * (99 + 98 + 97 + 96)
 
 
+@pytest.mark.parametrize("keyed", [False, True])
+def test_sums_over_pairs_without_pairs(spark, keyed):
+    rng, on = random.Random(5), ["k"] if keyed else []
+    left, right = intervals(rng, 80, 300), intervals(rng, 70, 5_000)
+    sides = [spark.createDataFrame(rows, SCHEMA).selectExpr("*", "if(id % 5 = 0, null, id - 20) as x", f"if(id % 4 = 1, null, id % 3) as {g}")
+             for rows, g in ((left, "g"), (right, "h"))]
+    summed = ij.interval_join(*sides, ("low", "high"), ("low", "high"), on, per=(["g"], ["h"]), count="pairs",
+                              sums={"l": "left.x", "r": "right.x"})
+    made = ij.interval_join(*sides, ("low", "high"), ("low", "high"), on).groupBy("left.g", "right.h").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum("left.x").alias("l"), F.sum("right.x").alias("r"))
+    rows = sorted(map(str, summed.collect()))
+    assert rows and rows == sorted(map(str, made.collect())) and summed.columns == made.columns
+    assert sum(r["pairs"] for r in summed.collect()) == len(pairs_plainly(left, right, keyed))
+
+
+def test_sums_over_many_pairs(spark):
+    # 4 * 10 ** 8 pairs, half of them at one instant
+    rows = spark.range(20_000).selectExpr("id", "if(id % 2 = 0, 0L, id) as low", "50000L as high")
+    total = ij.interval_join(rows, rows, ("low", "high"), ("low", "high"), per=([], []), sums={"ids": "right.id"}).first()
+    assert total["n"] == 20_000 ** 2 and total["ids"] == 20_000 * sum(range(20_000))
+
+
 def test_timestamps_dates_and_nothing(spark):
     days = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-01-10')) AS low").withColumn("high", F.date_add("low", 3))
     assert ij.interval_join(days, days, ("low", "high"), ("low", "high")).count() == 10 + 2 * (9 + 8)
