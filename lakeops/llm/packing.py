@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 from functools import cache
 from itertools import combinations
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ CAPACITY = 4096
 CLOSING = 1
 #: Nodes of the search; steps that one node may take to enumerate fillings; fillings that it tries.
 NODES, STEPS, WIDTH = 6_000, 400, 4
+#: Words, and runs, that one memory holds; it holds as many words that it met before.
 _KNOWN_LIMIT = 250_000
 
 #: (length, how many of them) of one sequence, and how many sequences look so.
@@ -52,31 +54,41 @@ _SHIFTED = dict(zip((b for b in range(256) if b not in _SHOWN), map(chr, range(2
 class WordIds(dict):
     """The ids, as little-endian bytes, of each word. Words are what stands between blanks and line
     ends, which this tokenizer drops and never joins across. Plain words go straight to its merges,
-    run by run; all others through the whole of it. The memory is cleared when it is full."""
+    run by run; all others through the whole of it. When the memory is full, words not met since it was
+    last full are forgotten."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
-        self.encode, self.merge, self.runs = tokenizer.encode, tokenizer.model.tokenize, {}
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.runs: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) > _KNOWN_LIMIT:
+        if len(self) >= _KNOWN_LIMIT:
+            self.older = dict(self)
             self.clear()
-            self.runs.clear()
-        if _PLAIN(word) and "<|" not in word:
-            ids = b"".join(map(self.of_run, _RUNS(word.lower())))
-        else:
-            ids = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            if word.isascii() and word.isalpha():
+                ids = self.of_run(word.lower())
+            elif _PLAIN(word) and "<|" not in word:
+                ids = b"".join(map(self.of_run, _RUNS(word.lower())))
+            else:
+                ids = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         self[word] = ids
         return ids
 
     def of_run(self, run: str) -> bytes:
         ids = self.runs.get(run)
         if ids is None:
+            if len(self.runs) >= _KNOWN_LIMIT:
+                self.runs.clear()
             shown = run if run.isascii() else run.encode().decode("latin-1").translate(_SHIFTED)
-            ids = self.runs[run] = np.array([t.id for t in self.merge(shown)], "<u4").tobytes()
+            found = [t.id for t in self.merge(shown)]
+            ids = self.runs[run] = pack_ids(f"<{len(found)}I", *found)
         return ids
 
     def of_text(self, text: str) -> bytes:

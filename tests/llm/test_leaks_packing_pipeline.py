@@ -208,3 +208,17 @@ def test_pieces_keep_their_own_places():
             taken[s] |= own
     assert sorted(map(len, taken.values())) == [11] * 3 + [13] * 4
     assert all(taken[s] == set(range(len(taken[s]))) for s in taken)
+
+
+def test_words_met_again_outlive_a_full_memory(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "_KNOWN_LIMIT", 8)
+    known, asked = packing.WordIds(path), []
+    merge = known.merge
+    known.merge = lambda run: asked.append(run) or merge(run)
+    words = [f"{w}{'abcdefghij'[i % 10]}" for i, w in enumerate(["stone", "Water,", "straße", "don't", "x9", "<|y|>", "中"] * 10)]
+    text = " ".join(w for word in words for w in ("common", word))
+    plain = packing.WordIds(path)
+    assert known.of_text(text) == b"".join(
+        np.array(plain.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in text.split(" "))
+    assert asked.count("common") == 1 and len(known) <= 8 and len(known.runs) <= 8
