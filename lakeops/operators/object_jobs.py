@@ -17,7 +17,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.checksum import crc32c_many, fold_ranges
+from lakeops.functions.checksum import crc32c_of, fold_ranges
 from lakeops.session import locate, materialise, ship_package
 
 # The most parts one composed object may have, the copy buffer, and what may
@@ -53,6 +53,13 @@ def _write_whole(target: str, sources: list[str]) -> int:
     return written
 
 
+def _range_crc(location: str, start: int, length: int) -> int:
+    """CRC32C of a range of a stored object, read and folded in buffers, so that its length costs no memory."""
+    fs, path = locate(location)
+    with fs.open_input_file(path) as data:
+        return crc32c_of(data.read_at(min(BUFFER, start + length - at), at) for at in range(start, start + length, BUFFER))
+
+
 def _remove(uri: str) -> None:
     fs, path = locate(uri)
     if fs.get_file_info(path).type != pafs.FileType.NotFound:
@@ -184,12 +191,8 @@ def object_checksums(listing: DataFrame, range_bytes: int = 64 * 1024 * 1024,
     """
     def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            crcs = []
-            for location, start, length in zip(batch["location"], batch["start"], batch["length"]):
-                fs, path = locate(location)
-                with fs.open_input_file(path) as data:
-                    crcs.append(crc32c_many([data.read_at(int(length), int(start))])[0])
-            batch["crc"] = crcs
+            batch["crc"] = [_range_crc(x, int(start), int(length))
+                            for x, start, length in zip(batch["location"], batch["start"], batch["length"])]
             yield batch
 
     last = F.greatest(F.col("size") - 1, F.lit(0))

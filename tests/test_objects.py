@@ -1,5 +1,6 @@
 import glob
 import os
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +93,19 @@ def test_stage_in(spark, source, folder):
     assert os.path.exists(f"{source}/1.txt")
     staged = jobs.stage_in(listing, f"{folder}/good", "MOVE", f"{folder}/done")
     assert staged.count() == 5 and len(os.listdir(f"{folder}/done")) == 5 and not os.path.exists(f"{source}/1.txt")
+
+
+def test_a_range_is_summed_in_little_memory(spark, tmp_path):
+    path = tmp_path / "large"
+    data = bytes(range(251)) * (160 * 1024)  # 39 MB
+    path.write_bytes(data)
+    expected, size = crc32c_many([data])[0], len(data)
+    del data
+    tracemalloc.start()
+    try:
+        assert jobs._range_crc(str(path), 0, size) == expected
+        assert tracemalloc.get_traced_memory()[1] < size
+    finally:
+        tracemalloc.stop()
+    listing = scan_folder(spark, str(tmp_path))
+    assert [r["crc32c"] for r in jobs.object_checksums(listing).collect()] == [to_base64(expected)]
