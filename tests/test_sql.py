@@ -117,3 +117,25 @@ def test_observed_run_evaluates_its_plan_once(spark, folder):
     empty = run_observed(df.where("id < 0"), f"{folder}/none", partition_column="p")[1]
     assert (empty.rows, empty.partitions, empty.dml_rows) == (0, 0, None)
     assert stats.frame(spark).first()["rows"] == 90
+
+
+def test_cube_over_distinct_keys_groups_small_parts(spark, tmp_path, monkeypatch):
+    """Equal orders stand in one part, parts grow in number with the rows, and null orders and flags count as in SQL."""
+    from lakeops.plans import sql_queries
+    monkeypatch.setattr(sql_queries, "PART_ROWS", 100, raising=False)
+    rows = [(i % 333 if i % 50 else None, "ANR"[i % 3] if i % 7 else None, "FO"[i % 2]) for i in range(2000)]
+    lines = spark.createDataFrame(rows, "l_orderkey bigint, l_returnflag string, l_linestatus string")
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    result = sql_queries.sql_cube_distinct(spark, str(tmp_path)).collect()
+    parts = spark.table("lineitem").withColumn("part", F.spark_partition_id())
+    assert parts.select("part").distinct().count() > 10
+    assert parts.groupBy("l_orderkey").agg(F.count_distinct("part").alias("n")).where("n > 1").count() == 0
+    expected = set()
+    for flags in ({f for _, f, _ in rows}, None):
+        for states in ({s for _, _, s in rows}, None):
+            for f in flags or {"all"}:
+                for s in states or {"all"}:
+                    own = [k for k, flag, state in rows if (flags is None or flag == f) and (states is None or state == s)]
+                    expected.add((f, s, len(set(own) - {None}), len(own), flags is None, states is None))
+    assert sorted((r["l_returnflag"] or "", r["l_linestatus"] or "", r["orders"], r["n"]) for r in result) == sorted(
+        ("" if all_flags else f or "", "" if all_states else s, orders, n) for f, s, orders, n, all_flags, all_states in expected)
