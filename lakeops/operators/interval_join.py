@@ -4,7 +4,8 @@ Bins of width ``STEP ** level`` cover the axis at each level. An interval belong
 least as long as it is, and so touches two bins there at most, however long it is. Of two intervals that overlap, the
 one of the higher level meets the other in the bins of its own level: each side is looked up at its own level and at
 the levels above it that the other side has. A pair is kept in one bin only, the one that holds the later of the two
-starts. Bins are equality keys, so the join is a hash or sort-merge join.
+starts. Bins are equality keys, so the join is a sort-merge join. It is never a broadcast: Spark judges a side by its size
+before it is spread over bins or cells, which may make a hundred rows of one.
 
 A bin in which very many rows of the left side start is split: its left rows are dealt over parts, and the right
 rows go to each part.
@@ -103,7 +104,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_interval: tuple[str, s
                     .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts"))
         keys = [*keys, "_part"]
     start = F.greatest("left_low", "right_low")
-    met = l_spread.join(r_spread, keys).where(
+    met = l_spread.join(r_spread.hint("merge"), keys).where(
         (F.col("left_own") | F.col("right_own")) & (F.col("left_low") <= F.col("right_high")) & (F.col("right_low") <= F.col("left_high"))
         & ((start - F.pmod(start, F.col("_width"))) == F.col("_bin") * F.col("_width")))
     return met.select("left", "right")
@@ -158,7 +159,7 @@ def _sums_of_pairs(left: DataFrame, right: DataFrame, left_interval: tuple[str,
         point = F.array(*[F.struct(F.lit(level).alias("level"), _floor(F.col("low"), CUT ** level).alias("cell"))
                           for level in range(top + 1)])
         joined = keyed(outer, outer_side, _cells(F.col("_first"), F.col("high") + 1, top)).join(
-            keyed(inner, inner_side, point), ["level", "cell", *[f"_on{i}" for i in range(len(on))]])
+            keyed(inner, inner_side, point).hint("merge"), ["level", "cell", *[f"_on{i}" for i in range(len(on))]])
         other = {"left": "_right_n", "right": "_left_n"}
         return joined.select(*by, (F.col("_left_n") * F.col("_right_n")).alias("_n"),
                              *[(F.col(f"_of_{name}") * F.col(other[side])).alias(f"_of_{name}") for name, (side, _) in wanted.items()])

@@ -48,6 +48,17 @@ def test_plan_has_no_nested_loop(spark):
     assert joined.count() == 100 + 2 * (99 + 98 + 97 + 96)
 
 
+@pytest.mark.parametrize("per", [None, (["id"], [])])
+def test_plan_broadcasts_no_side_that_was_spread(spark, folder, per):
+    # small files, of which a row becomes many
+    spark.range(1_000).selectExpr("id", "id * 1000 as low", "id * 1000 + 1000000 as high").write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    joined = ij.interval_join(rows, rows, ("low", "high"), ("low", "high"), per=per)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    joined.collect()
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("keyed", [False, True])
 def test_sums_over_pairs_without_pairs(spark, keyed):
     rng, on = random.Random(5), ["k"] if keyed else []
