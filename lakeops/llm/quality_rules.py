@@ -39,15 +39,15 @@ _BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 #: Repeated windows that are looked up in a list; more are found by sorting.
 FEW = 32
 
-#: name -> expression over the counts; null where it has no value
+#: name -> expression over the counts; null where it has no value, in texts without words or lines ("/" may be an error there)
 RATIOS = {
     "words": "cast(n_words as double)",
-    "word_length": "word_chars / n_words",
-    "symbol_share": "n_symbols / word_chars",
-    "repeated_lines": "n_dup_lines / n_lines",
-    "repeated_words": "n_repeat_words / n_words",
-    "capital_share": "n_capitals / word_chars",
-    "bang_share": "n_bangs / word_chars",
+    "word_length": "try_divide(word_chars, n_words)",
+    "symbol_share": "try_divide(n_symbols, word_chars)",
+    "repeated_lines": "try_divide(n_dup_lines, n_lines)",
+    "repeated_words": "try_divide(n_repeat_words, n_words)",
+    "capital_share": "try_divide(n_capitals, word_chars)",
+    "bang_share": "try_divide(n_bangs, word_chars)",
 }
 
 

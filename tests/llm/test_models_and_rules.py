@@ -70,6 +70,17 @@ def test_rules_find_a_planted_threshold(spark):
     assert 8 / 500 < rules[0][0].threshold < 50 / 500
 
 
+def test_labelled_texts_without_words(spark):
+    # ratios have no value in every seventh text, and the others are told apart by one of them
+    words = "array_join(transform(sequence(1, 60), i -> concat({}, id, 'w', i)), ' ')".format
+    docs = spark.range(280).selectExpr("id AS doc_id", "CASE id % 7 WHEN 0 THEN substring(' \t\n', 1, CAST(id % 4 AS int)) WHEN 1 THEN NULL "
+                                       f"ELSE if(id % 2 = 0, {words("'#$'")}, {words("'ab'")}) END AS text")
+    labels = spark.range(280).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    found = {r["doc_id"]: r for r in quality_rules.apply_rules(docs, labels).collect()}
+    assert len(found) == 280 and all(found[i]["base_failed"] and not found[i]["kept"] for i in range(280) if i % 7 < 2)
+    assert all(found[i]["kept"] == (i % 2 == 1) for i in range(280) if i % 7 > 1)
+
+
 def test_languages_of_held_out_documents(spark):
     docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     found = op4_language_id(spark, SF).collect()
